@@ -118,9 +118,9 @@ def tile_window(framed: DataFrame, tile: str) -> WindowSpec:
     return Window.partitionBy(SYMBOL, BLOCK, *nested[:cut]).orderBy(*nested[cut:], BAR_NO)
 
 
-def trim(framed: DataFrame) -> DataFrame:
+def trim(framed: DataFrame, keep_blocks: bool = False) -> DataFrame:
     """Back to one row per bar."""
-    helpers = [c for c in framed.columns if c.startswith("_")]
+    helpers = [c for c in framed.columns if c.startswith("_") and not (keep_blocks and c == BLOCK)]
     return framed.filter(HOME).drop(*helpers)
 
 

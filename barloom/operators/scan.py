@@ -48,15 +48,20 @@ class Running:
 _AGGREGATE = {"sum": F.sum, "product": F.product, "max": F.max, "min": F.min}
 
 
-def carried_totals(totals: DataFrame, keys: Sequence[str], piece: str, running: Mapping[str, Running], ascending: bool):
-    """Replace the totals of each piece by the aggregate of all earlier pieces."""
+def _carried(
+    parts: DataFrame, keys: Sequence[str], piece: str, running: Mapping[str, Running], ascending: bool
+) -> DataFrame:
+    """From the aggregate of each piece: that of all earlier pieces, and that of all pieces."""
     order = F.col(piece).asc() if ascending else F.col(piece).desc()
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(_START, -1)
-    return totals.select(
-        *keys,
-        piece,
-        *(Running(r.how, F.col(f"_{n}")).over(earlier).alias(f"_{n}") for n, r in running.items()),
-    )
+    pieces = Window.partitionBy(*keys).orderBy(order)
+    columns = []
+    for n, r in running.items():
+        part = Running(r.how, F.col(f"_{n}"))
+        columns += [
+            part.over(pieces.rowsBetween(_START, -1)).alias(f"_{n}"),
+            part.over(pieces.rowsBetween(_START, _END)).alias(f"{n}_total"),
+        ]
+    return parts.select(*keys, piece, *columns)
 
 
 def prefix_scan(
@@ -67,22 +72,25 @@ def prefix_scan(
     running: Mapping[str, Running],
     *,
     ascending: bool = True,
+    totals: bool = False,
 ) -> DataFrame:
     """Add running aggregates over all rows of ``keys`` up to and including the current one.
 
-    ``piece`` must grow with ``order`` and (keys, order) must be unique.
+    ``piece`` must grow with ``order`` and (keys, order) must be unique. With ``totals`` each
+    aggregate also comes for the whole series, as ``<name>_total``.
     """
     by = F.col(order).asc() if ascending else F.col(order).desc()
     local = Window.partitionBy(*keys, piece).orderBy(by).rowsBetween(_START, 0)
     position = F.col(order)
     if not ascending and any(r.how == "last" for r in running.values()):
         raise ValueError("a running 'last' needs ascending order")
-    totals = df.groupBy(*keys, piece).agg(*(r.aggregate(position).alias(f"_{n}") for n, r in running.items()))
+    parts = df.groupBy(*keys, piece).agg(*(r.aggregate(position).alias(f"_{n}") for n, r in running.items()))
     scanned = df.withColumns({n: r.over(local) for n, r in running.items()})
-    joined = scanned.join(carried_totals(totals, keys, piece, running, ascending), [*keys, piece], "left")
+    joined = scanned.join(_carried(parts, keys, piece, running, ascending), [*keys, piece], "left")
     return joined.select(
         *df.columns,
         *(r.combine(F.col(f"_{n}"), F.col(n)).alias(n) for n, r in running.items()),
+        *(f"{n}_total" for n in running if totals),
     )
 
 

@@ -34,11 +34,12 @@ class Step:
     series: tuple[str, ...] = ()  # of SERIES_SUMS, or "close_std"
 
 
-def compute(bars: DataFrame, layout: Layout, *steps: Step) -> DataFrame:
+def compute(bars: DataFrame, layout: Layout, *steps: Step, keep_blocks: bool = False) -> DataFrame:
     """Apply steps to a panel of bars; one output row per bar.
 
     Levels of all steps are merged, so that Spark plans one window pass per level and not one per
-    indicator. A column that several steps need (the 20-bar mean, say) is computed once.
+    indicator. A column that several steps need (the 20-bar mean, say) is computed once. With
+    ``keep_blocks`` the block number stays, for scans that go on within blocks.
     """
     numbered = panel.number_bars(bars, layout)
     tiles = [size for size, _ in panel.tile_plan([s for step in steps for s in step.spans])]
@@ -60,7 +61,7 @@ def compute(bars: DataFrame, layout: Layout, *steps: Step) -> DataFrame:
                 merged |= {n: c for n, c in plan[level].items() if n not in framed.columns}
         if merged:
             framed = framed.withColumns(merged)
-    return panel.trim(framed)
+    return panel.trim(framed, keep_blocks)
 
 
 def obv_step(order) -> Column:
