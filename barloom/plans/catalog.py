@@ -28,7 +28,7 @@ from barloom.plans.features import feature_panel
 from barloom.plans.rounding import rounded
 from barloom.plans.workflow import train_and_rank, training_rows
 from barloom.schema import FEATURE_SETS, MINI8, PRICES, Layout
-from barloom.session import checkpoint_dir
+from barloom.session import checkpoint_dir, materialize
 from barloom.sources import bars_from_ticks, comparison_table, evaluation_table
 from barloom.sources.files import time_range
 from barloom.streaming import bar_stream
@@ -145,6 +145,24 @@ def _with_gaps(bars: DataFrame) -> DataFrame:
     return bars.withColumns({c: F.when(F.col("volume") > 1, F.col(c)) for c in PRICES})
 
 
+def _equity(pred: DataFrame, bars: DataFrame) -> DataFrame:
+    """The event values jump so much that growth is shown as its logarithm."""
+    curve = backtest.equity(pred, bars, HOURLY)
+    return curve.select(
+        *KEY, "close", F.col("position").cast("double").alias("position"), "strategy_return",
+        F.ln("cumulative_return").alias("log_strategy"), F.ln("buy_hold_return").alias("log_buy_hold"),
+        F.ln("running_max").alias("log_running_max"), "drawdown",
+    )
+
+
+def _backtest_summary(pred: DataFrame, bars: DataFrame) -> DataFrame:
+    total = backtest.summary(backtest.equity(pred, bars, HOURLY))
+    return total.select(
+        "symbol", F.ln(1 + F.col("total_return")).alias("log_strategy"),
+        F.ln(1 + F.col("buy_hold_return")).alias("log_buy_hold"), "sharpe", "max_drawdown",
+    )
+
+
 def _rank_rules(pred: DataFrame) -> DataFrame:
     folded = dataset.folds(pred, label=("model", "label"))
     results = evaluate.metrics(pred).join(evaluate.fold_scores(folded), "model")
@@ -186,7 +204,7 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prepared(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, model.Preparation]:
     rows = training_rows(bars_1h(spark, sf_dir), HOURLY, name)
-    train = dataset.folds(dataset.split_random(rows).filter("split = 'train'")).persist()
+    train = materialize(dataset.folds(dataset.split_random(rows).filter("split = 'train'")))
     return train, model.Preparation.fit(train, FEATURE_SETS[name])
 
 
@@ -346,9 +364,9 @@ QUERIES: dict[str, Query] = {
     "prediction_outcomes": _with_bars(lambda p, b: charts.prediction_tables(p, b, HOURLY)["outcomes"]),
     "error_by_quintile": _with_bars(lambda p, b: charts.error_tables(p, _full(b))["by_quantile"]),
     # backtest
-    "equity": _with_bars(lambda p, b: backtest.equity(p, b, HOURLY).drop("rolling_sharpe", "bar_no")),
+    "equity": _with_bars(_equity),
     "rolling_sharpe": _with_bars(lambda p, b: backtest.equity(p, b, HOURLY).select(*KEY, "rolling_sharpe")),
-    "backtest_summary": _with_bars(lambda p, b: backtest.summary(backtest.equity(p, b, HOURLY))),
+    "backtest_summary": _with_bars(_backtest_summary),
     # profiles
     "column_summary": _on_bars(lambda b: profile.column_summary(b, "close")),
     "last_close": _on_bars(profile.last_close),

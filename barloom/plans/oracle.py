@@ -156,7 +156,7 @@ feat AS (
 _EXACT = {
     "symbol", "bar_ts", "volume", "target", "split", "fold", "rows", "bin", "label", "prediction", "model",
     "class", "support", "hour", "first_ts", "last_ts", "feature", "feature_a", "feature_b", "metric", "place",
-    "best", "outcome", "correct", "error", "candle", "histogram_side", "signal", "higher_highs", "position",
+    "best", "outcome", "correct", "error", "candle", "histogram_side", "signal", "higher_highs",
     "swing_high", "swing_low", "higher_high", "lower_low", "higher_low", "lower_high", "bos_bullish",
     "bos_bearish", "choch", "near_resistance", "near_support", "liquidity_sweep_up", "liquidity_sweep_down",
     "bullish_ob", "bearish_ob", "fvg_bullish", "fvg_bearish", "volume_trend", "obv_trend", "price_above_sma20",
@@ -307,6 +307,12 @@ _BACKTEST = f"""{_PRED}, moves AS (
       / nullif(stddev_samp(strategy_return) {_last(50)}, 0) * sqrt(24192) END AS rolling_sharpe
   FROM earned), curve AS (
   SELECT *, max(cumulative_return) {_all()} AS running_max FROM grown)"""
+
+
+def _log(x: str) -> str:
+    return f"CASE WHEN {x} > 0 THEN ln({x}) END"
+
+
 _DRAWDOWN = "cumulative_return / nullif(running_max, 0) - 1"
 
 
@@ -370,7 +376,7 @@ def _quintiles() -> str:
             f"[0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e FROM s4)"
         )
         parts.append(
-            f"SELECT '{c}' AS feature, CAST(len(list_filter(e[2:len(e) - 1], x -> x < {c})) AS INT) AS bin, "
+            f"SELECT '{c}' AS feature, CAST(len(list_filter(e[2:len(e) - 1], lambda x: x < {c})) AS INT) AS bin, "
             f"1 - correct AS error FROM pred JOIN s4 USING (symbol, bar_ts), edge_{c} "
             f"WHERE model = 'rsi' AND {c} IS NOT NULL"
         )
@@ -578,15 +584,16 @@ ORACLE: dict[str, str] = {
     ),
     "equity": _query(
         _BACKTEST,
-        ["symbol", "bar_ts", "close", "position", "strategy_return", "cumulative_return", "buy_hold_return",
-         "running_max", f"{_DRAWDOWN} AS drawdown"],
+        ["symbol", "bar_ts", "close", "CAST(position AS DOUBLE) AS position", "strategy_return",
+         f"{_log('cumulative_return')} AS log_strategy", f"{_log('buy_hold_return')} AS log_buy_hold",
+         f"{_log('running_max')} AS log_running_max", f"{_DRAWDOWN} AS drawdown"],
         "curve",
     ),
     "rolling_sharpe": _query(_BACKTEST, ["symbol", "bar_ts", "rolling_sharpe"], "curve"),
     "backtest_summary": _query(
         _BACKTEST,
-        ["symbol", "last(cumulative_return ORDER BY bar_ts) - 1 AS total_return",
-         "last(buy_hold_return ORDER BY bar_ts) - 1 AS buy_hold_return",
+        ["symbol", f"{_log('last(cumulative_return ORDER BY bar_ts)')} AS log_strategy",
+         f"{_log('last(buy_hold_return ORDER BY bar_ts)')} AS log_buy_hold",
          "avg(strategy_return) / nullif(stddev_samp(strategy_return), 0) * sqrt(24192) AS sharpe",
          f"min({_DRAWDOWN}) AS max_drawdown"],
         "curve GROUP BY symbol",

@@ -58,23 +58,18 @@ def train_and_rank(
     features = FEATURE_SETS[name]
     divided = dataset.split_random(rows) if split == "random" else dataset.split_time(rows)
     divided = materialize(divided)
-    train = dataset.folds(divided.filter(F.col("split") == "train").drop("split"), k).persist()
+    train = materialize(dataset.folds(divided.filter(F.col("split") == "train").drop("split"), k))
     test = divided.filter(F.col("split") == "test").drop("split")
     count = train.count()
     preparation = model.Preparation.fit(train, features)
     models, scored, found = {}, None, []
     for kind, params in (grids or presets or model.PRESETS[name]).items():
-        fixed = {} if grids else dict(params)
-        classifier = model.estimator(kind, count, balanced, **fixed)
-        fitted, chosen, mean, deviation = model.cross_validate(
-            train, preparation, classifier, params if grids else None, count, k
-        )
-        models[kind] = fitted
-        told = {p: str(v) for p, v in (chosen or fixed or params).items()}
-        found.append((kind, float(mean), float(deviation), told))
-        pred = model.predictions(fitted, test, kind)
+        points = model.parameter_points(params) if grids else [dict(params)]
+        done = model.cross_validate(train, preparation, kind, count, points, balanced, k)
+        models[kind] = done.model
+        found.append((kind, done.f1_mean, done.f1_std, {p: str(v) for p, v in done.params.items()}))
+        pred = model.predictions(done.model, test, kind)
         scored = pred if scored is None else scored.union(pred)
-    train.unpersist()
     scored = materialize(scored)
     spark = rows.sparkSession
     cv = spark.createDataFrame(
