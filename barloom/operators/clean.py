@@ -48,9 +48,11 @@ def sigma_bounds(
         rows = bars.select(SYMBOL, TS, *done, c)
         if bounds is not None:
             rows = _inside(attach_series(rows, bounds, layout), done)
-        mean, deviation = F.avg(c), F.stddev_samp(c)
+        mean, deviation, lowest, highest = F.avg(c), F.stddev_samp(c), F.min(c), F.max(c)
+        constant = (lowest == highest) & deviation.isNotNull()  # its mean may be off by rounding
         found = rows.groupBy(SYMBOL).agg(
-            (mean - width * deviation).alias(f"_low_{c}"), (mean + width * deviation).alias(f"_high_{c}")
+            F.when(constant, lowest).otherwise(mean - width * deviation).alias(f"_low_{c}"),
+            F.when(constant, highest).otherwise(mean + width * deviation).alias(f"_high_{c}"),
         )
         bounds = materialize(found if bounds is None else bounds.join(found, SYMBOL))
         done.append(c)

@@ -158,13 +158,14 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], upper: bool = False) -> D
         )
     )
     long = df.select(F.inline(entries)).filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    half = long.groupBy("feature_a", "feature_b").agg(
-        ratio(F.covar_samp("_a", "_b"), F.stddev_samp("_a") * F.stddev_samp("_b")).alias("corr")
-    )
+    # Merging partial moments of a constant leaves rounding dust, hence the test for variation.
+    varies = (F.min("_a") < F.max("_a")) & (F.min("_b") < F.max("_b"))
+    corr = ratio(F.covar_samp("_a", "_b"), F.stddev_samp("_a") * F.stddev_samp("_b"))
+    half = long.groupBy("feature_a", "feature_b").agg(F.when(varies, corr).alias("corr"))
     if upper:
         return half.filter(F.col("feature_a") != F.col("feature_b"))
-    both = F.array_distinct(F.array(F.struct("feature_a", "feature_b"), F.struct(
-        F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"))))
+    mirrored = F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"))
+    both = F.array_distinct(F.array(F.struct("feature_a", "feature_b"), mirrored))
     return half.select(F.inline(both), "corr").select("feature_a", "feature_b", "corr")
 
 

@@ -38,7 +38,9 @@ def compute(bars: DataFrame, layout: Layout, *steps: Step, keep_blocks: bool = F
     """Apply steps to a panel of bars; one output row per bar.
 
     Levels of all steps are merged, so that Spark plans one window pass per level and not one per
-    indicator. A column that several steps need (the 20-bar mean, say) is computed once. With
+    indicator. Steps end together: those with one level run in the last pass, which keeps the rows of
+    the passes before it narrow. A column that several steps need (the 20-bar mean, say) is computed
+    once. With
     ``keep_blocks`` the block number stays, for scans that go on within blocks.
     """
     numbered = panel.number_bars(bars, layout)
@@ -54,13 +56,17 @@ def compute(bars: DataFrame, layout: Layout, *steps: Step, keep_blocks: bool = F
     if series:
         framed = framed.join(series_state(numbered, layout, series), [panel.SYMBOL, panel.BLOCK], "left")
     plans = [step.stages(framed) for step in steps]
-    for level in range(max((len(p) for p in plans), default=0)):
+    depth = max((len(plan) for plan in plans), default=0)
+    present = set(framed.columns)
+    for level in range(depth):
         merged: dict[str, Column] = {}
         for plan in plans:
-            if level < len(plan):
-                merged |= {n: c for n, c in plan[level].items() if n not in framed.columns}
+            stage = level - (depth - len(plan))
+            if stage >= 0:
+                merged |= {n: c for n, c in plan[stage].items() if n not in present}
         if merged:
             framed = framed.withColumns(merged)
+            present |= merged.keys()
     return panel.trim(framed, keep_blocks)
 
 

@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "barloom", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # Wide rows compile into methods the JIT refuses; beyond this width Spark splits the code.
+        .config("spark.sql.codegen.maxFields", "30")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
