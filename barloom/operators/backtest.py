@@ -34,7 +34,7 @@ def rolling_sharpe(window: int = 50, periods: int = PERIODS_15M) -> Step:
         frame = trailing(block_window(framed), window)
         earned = F.col("strategy_return")
         sharpe = ratio(F.avg(earned).over(frame), F.stddev_samp(earned).over(frame)) * math.sqrt(periods)
-        return [{}, {}, {"rolling_sharpe": full(sharpe, "strategy_return", frame, window)}]
+        return [*returns().stages(framed), {"rolling_sharpe": full(sharpe, "strategy_return", frame, window)}]
 
     return Step(stages, back=window + 1)
 
@@ -48,8 +48,7 @@ def match(pred: DataFrame, bars: DataFrame) -> DataFrame:
 
 def equity(pred: DataFrame, bars: DataFrame, layout: Layout, window: int = 50, periods: int = PERIODS_15M) -> DataFrame:
     """Equity of the strategy and of holding, running maximum, drawdown, rolling Sharpe ratio."""
-    steps = (returns(), rolling_sharpe(window, periods))
-    rows = compute(match(pred, bars), layout, *steps, keep_blocks=True)
+    rows = compute(match(pred, bars), layout, rolling_sharpe(window, periods), keep_blocks=True)
     inside = Window.partitionBy(SYMBOL, BLOCK).orderBy("bar_no").rowsBetween(_START, 0)
     grown = rows.withColumns(
         {

@@ -25,7 +25,8 @@ Stages = Callable[[DataFrame], list[dict[str, Column]]]
 
 @dataclass(frozen=True)
 class Step:
-    """``stages`` lists columns level by level; a level may use the columns of the levels before it."""
+    """``stages`` lists columns level by level; a level may use the columns of the step's levels before
+    it, but not those of another step."""
 
     stages: Stages
     back: int = 0

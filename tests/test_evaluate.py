@@ -94,7 +94,7 @@ def test_curves(pred, frame):
         assert fpr == pytest.approx((chosen & (f.label == 0)).sum() / (f.label == 0).sum())
     for t, value in precision[["threshold", "precision"]].itertuples(index=False):
         assert value == pytest.approx(f.label[f.probability >= t].mean())
-    ordered = precision.sort_values("recall")
+    ordered = precision.sort_values("threshold", ascending=False)
     want = (ordered.recall.diff().fillna(ordered.recall) * ordered.precision).sum()
     got = evaluate.average_precision(curve).filter("model = 'm'").first()["average_precision"]
     assert got == pytest.approx(want)
