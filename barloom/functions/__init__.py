@@ -8,6 +8,7 @@ from barloom.functions.scalar import (
     flag,
     ratio,
     row_hash,
+    since_epoch,
     time_bucket,
     zero_if_missing,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "prior",
     "ratio",
     "row_hash",
+    "since_epoch",
     "time_bucket",
     "trailing",
     "zero_if_missing",

@@ -39,18 +39,18 @@ def zero_if_missing(c: Column | str) -> Column:
     return F.when(finite(c), as_column(c)).otherwise(F.lit(0))
 
 
-def _since_epoch(ts: Column | str) -> Column:
+def since_epoch(ts: Column | str) -> Column:
     # Subtracting zone-less timestamps involves no session time zone.
     gap = as_column(ts).cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
     return gap.cast("interval second").cast("decimal(18,6)")
 
 
 def epoch_seconds(ts: Column | str) -> Column:
-    return F.floor(_since_epoch(ts)).cast("bigint")
+    return F.floor(since_epoch(ts)).cast("bigint")
 
 
 def epoch_micros(ts: Column | str) -> Column:
-    return (_since_epoch(ts) * 1_000_000).cast("bigint")
+    return (since_epoch(ts) * 1_000_000).cast("bigint")
 
 
 def time_bucket(ts: Column | str, seconds: int) -> Column:

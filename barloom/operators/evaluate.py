@@ -13,7 +13,7 @@ from barloom.operators.profile import class_histogram
 from barloom.operators.scan import Running, prefix_scan
 from barloom.operators.step import Step
 
-_SCORE_PIECES = 4096
+_SCORE_PIECES = 65_536
 
 
 def _counts(pred: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:

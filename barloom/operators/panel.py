@@ -36,6 +36,20 @@ def number_bars(bars: DataFrame, layout: Layout, keys: Sequence[str] = (SYMBOL,)
     return counted.withColumn(BAR_NO, F.col(BAR_NO) - 1).drop(CHUNK)
 
 
+def measured_layout(bars: DataFrame, every: int, rows: int = 50_000) -> Layout:
+    """A layout whose chunks hold at most ``rows`` bars, for series that are not on a grid.
+
+    Each round counts the rows of the fullest chunk; only that number reaches the driver.
+    """
+    seconds = every * rows
+    while True:
+        counts = bars.groupBy(SYMBOL, time_bucket(TS, seconds).alias(CHUNK)).count()
+        fullest = counts.agg(F.max("count")).first()[0] or 0
+        if fullest <= rows or seconds == 1:
+            return Layout(every=1, chunk_rows=seconds, block_rows=rows)
+        seconds = max(1, seconds // math.ceil(fullest / rows))
+
+
 def last_bars(bars: DataFrame, n: int, layout: Layout) -> DataFrame:
     """The latest n bars of each series, without sorting a series."""
     if BAR_NO in bars.columns:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +83,11 @@ def _full(bars: DataFrame) -> DataFrame:
     return feature_panel(bars, HOURLY, "full77")
 
 
+def _stored(panel: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The needed columns of a panel, written once: the tables below read them several times."""
+    return materialize(panel.select(*dict.fromkeys((*KEY, *columns))))
+
+
 def _labelled(bars: DataFrame) -> DataFrame:
     return compute(bars, HOURLY, label.target()).select(*KEY, "close", "target")
 
@@ -163,6 +169,13 @@ def _backtest_summary(pred: DataFrame, bars: DataFrame) -> DataFrame:
     )
 
 
+def _error_by_quintile(pred: DataFrame, bars: DataFrame) -> DataFrame:
+    steps = (technical.rsi(), technical.volatility(), volume.volume_average())
+    return charts.error_tables(materialize(pred), _stored(compute(bars, HOURLY, *steps), charts.ERROR_DRIVERS))[
+        "by_quantile"
+    ]
+
+
 def _rank_rules(pred: DataFrame) -> DataFrame:
     folded = dataset.folds(pred, label=("model", "label"))
     results = evaluate.metrics(pred).join(evaluate.fold_scores(folded), "model")
@@ -171,7 +184,7 @@ def _rank_rules(pred: DataFrame) -> DataFrame:
 
 def _scaled(bars: DataFrame) -> DataFrame:
     rows = dataset.select_features(feature_panel(bars, HOURLY, "mini8"), MINI8)
-    divided = dataset.split_random(rows)
+    divided = materialize(dataset.split_random(rows))
     scaler = dataset.RobustScaler.fit(divided.filter("split = 'train'"), MINI8)
     return scaler.transform(divided)
 
@@ -255,7 +268,7 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "events")
     ticks = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     bars = bar_stream(ticks, "event_type", "ts", "value", ("ts", "event_id"), "1 hour")
-    root = f"{checkpoint_dir(spark)}/streams/{spark.sparkContext.applicationId}-{id(ticks)}"
+    root = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4()}"
     writer = bars.writeStream.format("parquet").option("path", f"{root}/bars")
     writer = writer.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
     writer.start().awaitTermination()
@@ -362,7 +375,7 @@ QUERIES: dict[str, Query] = {
     "rolling_accuracy": _with_bars(lambda p, b: charts.prediction_tables(p, b, HOURLY)["rolling_accuracy"]),
     "hourly_accuracy": _with_bars(lambda p, b: charts.prediction_tables(p, b, HOURLY)["hourly_accuracy"]),
     "prediction_outcomes": _with_bars(lambda p, b: charts.prediction_tables(p, b, HOURLY)["outcomes"]),
-    "error_by_quintile": _with_bars(lambda p, b: charts.error_tables(p, _full(b))["by_quantile"]),
+    "error_by_quintile": _with_bars(_error_by_quintile),
     # backtest
     "equity": _with_bars(_equity),
     "rolling_sharpe": _with_bars(lambda p, b: backtest.equity(p, b, HOURLY).select(*KEY, "rolling_sharpe")),
@@ -382,7 +395,9 @@ QUERIES: dict[str, Query] = {
     "corr_matrix": _on_bars(lambda b: charts.correlation(_full(b))["matrix"]),
     "corr_upper": _on_bars(lambda b: profile.corr_matrix(_full(b), charts.CORRELATED, upper=True)),
     "target_corr": _on_bars(lambda b: charts.correlation(_full(b))["target"]),
-    "class_hist": _on_bars(lambda b: charts.distributions(_full(b))["density"]),
+    "class_hist": _on_bars(
+        lambda b: charts.distributions(_stored(_full(b), (*charts.DISTRIBUTED, "target")))["density"]
+    ),
     "class_means": _on_bars(lambda b: charts.distributions(_full(b))["means"]),
     # chart tables not covered above
     "chart_price": _on_bars(lambda b: charts.price_overview(_full(b))),

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.scalar import _since_epoch
+from barloom.functions import since_epoch
 
 
-def _position(df: DataFrame, order: Sequence[str]) -> Column:
+def position_of(df: DataFrame, order: Sequence[str]) -> Column:
     """One sortable value for the order columns.
 
     A single column, or a time stamp with a 64-bit tie-break packed into one decimal, keeps the
@@ -22,7 +22,7 @@ def _position(df: DataFrame, order: Sequence[str]) -> Column:
     kinds = [df.schema[c].dataType for c in order]
     stamp = isinstance(kinds[0], (T.TimestampNTZType, T.TimestampType))
     if len(order) == 2 and stamp and isinstance(kinds[1], (T.LongType, T.IntegerType)):
-        shifted = _since_epoch(order[0]) * F.expr("10000000000000000000BD")
+        shifted = since_epoch(order[0]) * F.expr("10000000000000000000BD")
         return shifted.cast("decimal(38,6)") + F.col(order[1]).cast("decimal(19,0)")
     return F.struct(*order)
 
@@ -40,7 +40,7 @@ def bars_from_ticks(
 
     Everything is combined before the shuffle, so a dominant symbol ships one row per bar and task.
     """
-    position = _position(ticks, order)
+    position = position_of(ticks, order)
     key = F.col(symbol) if isinstance(symbol, str) else symbol
     start = F.window(ts, every)["start"]
     return ticks.groupBy(key.alias("symbol"), start.alias("bar_ts")).agg(

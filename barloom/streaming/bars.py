@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.sources.ticks import position_of
+
 
 def bar_stream(
     ticks: DataFrame,
@@ -24,7 +26,7 @@ def bar_stream(
     """
     key = F.col(symbol) if isinstance(symbol, str) else symbol
     timed = ticks.withColumn("_instant", F.col(ts).cast("timestamp")).withWatermark("_instant", late)
-    position = F.struct(*order)
+    position = position_of(ticks, order)
     bars = timed.groupBy(key.alias("symbol"), F.window("_instant", every).alias("_window")).agg(
         F.min_by(price, position).alias("open"),
         F.max(price).alias("high"),

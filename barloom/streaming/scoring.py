@@ -29,9 +29,9 @@ def score_batches(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for a stream of bars.
 
-    ``history`` reads the stored bars before the batch. Of them each symbol brings as many as the steps
-    reach back for, so the work grows with the batch and not with the history. Steps that sum over a
-    whole series are not allowed here.
+    ``history`` reads the stored bars before the batch; let it read the recent part only, one that holds
+    the bars the steps reach back for. Symbols without new bars are left out, the others are cut to
+    that reach. Steps that sum over a whole series are not allowed here.
     """
     if any(step.series for step in steps):
         raise ValueError("steps over a whole series cannot run on a tail of it")

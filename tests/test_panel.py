@@ -9,7 +9,7 @@ from conftest import assert_same, bars_frame, collected, to_spark, walk
 from pyspark.sql import functions as F
 
 from barloom.functions import epoch_micros, epoch_seconds
-from barloom.operators.panel import last_bars, number_bars, spread
+from barloom.operators.panel import last_bars, measured_layout, number_bars, spread
 from barloom.operators.scan import Running, prefix_scan
 from barloom.operators.step import compute
 from barloom.operators.technical import rsi, sma
@@ -30,6 +30,16 @@ def test_numbering_is_kept_when_present(spark, layout):
     assert number_bars(numbered, layout) is numbered
 
 
+def test_layout_of_an_irregular_series(spark):
+    frame = walk(300, 1)
+    frame["bar_ts"] = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(300) ** 2, unit="s")
+    found = measured_layout(to_spark(spark, frame), 900, rows=40)
+    chunk = (frame.bar_ts.astype("int64") // 10**9 if frame.bar_ts.dtype == "datetime64[ns]" else frame.bar_ts.astype("datetime64[s]").astype("int64")) // found.chunk_seconds
+    assert chunk.value_counts().max() <= 40 and found.block_rows == 40
+    got = collected(number_bars(to_spark(spark, frame), found))
+    assert list(got.bar_no) == list(range(300))
+
+
 def test_last_bars(spark, layout):
     both = pd.concat([walk(120, 1, "A"), walk(7, 2, "B")])
     got = collected(last_bars(to_spark(spark, both), 10, layout))
