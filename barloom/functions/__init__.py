@@ -1,4 +1,4 @@
-from barloom.functions.frames import full, prior, trailing
+from barloom.functions.frames import full, long_extreme, long_mean, prior, trailing
 from barloom.functions.scalar import (
     EPSILON,
     change,
@@ -21,6 +21,8 @@ __all__ = [
     "finite",
     "flag",
     "full",
+    "long_extreme",
+    "long_mean",
     "prior",
     "ratio",
     "row_hash",

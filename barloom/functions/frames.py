@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -19,3 +19,45 @@ def prior(order: WindowSpec, k: int, skip: int = 0) -> WindowSpec:
 def full(value: Column, counted: str, frame: WindowSpec, k: int) -> Column:
     """``value`` only where the frame holds k non-null entries of ``counted``."""
     return F.when(F.count(counted).over(frame) == k, value)
+
+
+# Spark evaluates a sliding frame anew for every row, k steps for k rows. A long window is therefore
+# put together from short ones: the window of 10 rows ending here, 10 rows earlier, 20 rows earlier ...
+PART = 10
+
+
+def is_long(k: int) -> bool:
+    return k >= 2 * PART and k % PART == 0
+
+
+def long_extreme(order: WindowSpec, c: str, how: str, k: int, skip: int = 0) -> tuple[dict[str, Column], Column]:
+    """Maximum or minimum of the k latest rows, without the latest ``skip``.
+
+    Returns the columns of a first level and an expression over them for the next level.
+    """
+    if not is_long(k):
+        aggregate = F.max(c) if how == "max" else F.min(c)
+        return {}, aggregate.over(order.rowsBetween(-(k - 1 + skip), -skip))
+    part = f"_{how}_{c}_{PART}"
+    short = (F.max(c) if how == "max" else F.min(c)).over(trailing(order, PART))
+    pieces = [F.lag(part, at).over(order) if at else F.col(part) for at in range(skip, k + skip, PART)]
+    return {part: short}, (F.greatest if how == "max" else F.least)(*pieces)
+
+
+def long_mean(order: WindowSpec, c: str, k: int) -> tuple[dict[str, Column], Column]:
+    """Mean of the non-null values among the k latest rows, in two levels as above.
+
+    Means over the same rows come out bit for bit equal whatever k, so that comparing a shorter with a
+    longer mean says "equal" while the series is shorter than both.
+    """
+    if not is_long(k):
+        return {}, F.avg(c).over(trailing(order, k))
+    part, seen = f"_sum_{c}_{PART}", f"_seen_{c}"
+    first = {
+        part: F.sum(c).over(trailing(order, PART)),
+        seen: F.count(c).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+    }
+    pieces = [F.lag(part, at).over(order) if at else F.col(part) for at in range(0, k, PART)]
+    total = sum((F.coalesce(p, F.lit(0.0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0.0)))
+    rows = F.col(seen) - F.coalesce(F.lag(seen, k).over(order), F.lit(0))
+    return first, F.try_divide(total, rows)

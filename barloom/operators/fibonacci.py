@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions import ratio, trailing
+from barloom.functions import long_extreme, ratio
 from barloom.operators.panel import block_window
 from barloom.operators.step import Step
 from barloom.schema import FIB_INNER, FIB_NAMES, FIB_RATIOS
@@ -20,11 +20,14 @@ def fibonacci(window: int = 100, anchor: str = "high") -> Step:
         raise ValueError("anchor is 'high' or 'low'")
 
     def stages(framed: DataFrame):
-        frame = trailing(block_window(framed), window)
+        order = block_window(framed)
+        first_high, rolling_high = long_extreme(order, "high", "max", window)
+        first_low, rolling_low = long_extreme(order, "low", "min", window)
         high, low, width = F.col("rolling_high"), F.col("rolling_low"), F.col("price_range")
         close = F.col("close")
         return [
-            {"rolling_high": F.max("high").over(frame), "rolling_low": F.min("low").over(frame)},
+            {**first_high, **first_low},
+            {"rolling_high": rolling_high, "rolling_low": rolling_low},
             {"price_range": high - low},
             {n: high - r * width for n, r in zip(FIB_NAMES, FIB_RATIOS)},
             {
@@ -33,4 +36,4 @@ def fibonacci(window: int = 100, anchor: str = "high") -> Step:
             },
         ]
 
-    return Step(stages, back=window - 1)
+    return Step(stages, back=window)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions import flag, full, prior, trailing
+from barloom.functions import flag, full, long_extreme, prior, trailing
 from barloom.operators.panel import block_window
 from barloom.operators.step import Step
 
@@ -64,14 +64,16 @@ def liquidity(window: int = 50, near: float = 0.005) -> Step:
 
     def stages(framed: DataFrame):
         order = block_window(framed)
-        frame, before = trailing(order, window), prior(order, window)
+        first_high, highest = long_extreme(order, "high", "max", window)
+        first_low, lowest = long_extreme(order, "low", "min", window)
         close, resistance, support = F.col("close"), F.col("_resistance"), F.col("_support")
         return [
+            {**first_high, **first_low},
             {
-                "resistance_level": F.max("high").over(frame),
-                "support_level": F.min("low").over(frame),
-                "_resistance": F.max("high").over(before),
-                "_support": F.min("low").over(before),
+                "resistance_level": highest,
+                "support_level": lowest,
+                "_resistance": long_extreme(order, "high", "max", window, skip=1)[1],
+                "_support": long_extreme(order, "low", "min", window, skip=1)[1],
             },
             {
                 "near_resistance": flag(close > F.col("resistance_level") * (1 - near)),

@@ -7,19 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions import EPSILON, change, flag, ratio, trailing
+from barloom.functions import EPSILON, change, flag, long_mean, ratio, trailing
 from barloom.operators.panel import block_window, ewm, warm_up
 from barloom.operators.step import Step
 from barloom.schema import AVERAGE_SPANS, MOMENTUM_LAGS
 
 
-def _means(framed: DataFrame, periods: Sequence[int]) -> dict[str, Column]:
+def _means(framed: DataFrame, periods: Sequence[int]) -> list[dict[str, Column]]:
     order = block_window(framed)
-    return {f"sma_{k}": F.avg("close").over(trailing(order, k)) for k in periods}
+    first, means = {}, {}
+    for k in periods:
+        parts, mean = long_mean(order, "close", k)
+        first |= parts
+        means[f"sma_{k}"] = mean
+    return [first, means]
 
 
 def sma(periods: Sequence[int] = AVERAGE_SPANS) -> Step:
-    return Step(lambda framed: [_means(framed, periods)], back=max(periods) - 1)
+    return Step(lambda framed: _means(framed, periods), back=max(periods))
 
 
 def ema(spans: Sequence[float] = AVERAGE_SPANS) -> Step:
@@ -39,7 +44,7 @@ def average_flags() -> Step:
 
     def stages(framed: DataFrame):
         return [
-            _means(framed, (10, 20, 50)),
+            *_means(framed, (10, 20, 50)),
             {
                 "price_above_sma20": flag(F.col("close") > F.col("sma_20")),
                 "price_above_sma50": flag(F.col("close") > F.col("sma_50")),
@@ -48,7 +53,7 @@ def average_flags() -> Step:
             },
         ]
 
-    return Step(stages, back=49)
+    return Step(stages, back=50)
 
 
 def rsi(window: int = 14) -> Step:
@@ -89,24 +94,25 @@ def macd(fast: int = 12, slow: int = 26, signal: int = 9) -> Step:
 def bollinger(window: int = 20, width: float = 2.0, squeeze: int = 50) -> Step:
     def stages(framed: DataFrame):
         order = block_window(framed)
+        first, means = _means(framed, (window,))
         middle, deviation = F.col(f"sma_{window}"), F.col("_deviation")
-        upper, lower, relative = F.col("bb_upper"), F.col("bb_lower"), F.col("bb_width")
-        usual = F.avg("bb_width").over(trailing(order, squeeze))
+        upper, lower = middle + width * deviation, middle - width * deviation
+        parts, usual = long_mean(order, "bb_width", squeeze)
         return [
-            {**_means(framed, (window,)), "_deviation": F.stddev_samp("close").over(trailing(order, window))},
+            first,
+            {**means, "_deviation": F.stddev_samp("close").over(trailing(order, window))},
             {
                 "bb_middle": middle,
-                "bb_upper": middle + width * deviation,
-                "bb_lower": middle - width * deviation,
-            },
-            {
-                "bb_width": ratio(upper - lower, "bb_middle"),
+                "bb_upper": upper,
+                "bb_lower": lower,
+                "bb_width": ratio(upper - lower, middle),
                 "bb_position": (F.col("close") - lower) / (upper - lower + EPSILON),
             },
-            {"bb_squeeze": flag(relative < usual * 0.8)},
+            parts,
+            {"bb_squeeze": flag(F.col("bb_width") < usual * 0.8)},
         ]
 
-    return Step(stages, back=window + squeeze - 2)
+    return Step(stages, back=window + squeeze - 1)
 
 
 def atr(window: int = 14, true_range: bool = True) -> Step:
