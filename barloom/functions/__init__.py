@@ -2,6 +2,7 @@ from barloom.functions.frames import full, long_extreme, long_mean, prior, trail
 from barloom.functions.scalar import (
     EPSILON,
     change,
+    display_name,
     epoch_micros,
     epoch_seconds,
     finite,
@@ -16,6 +17,7 @@ from barloom.functions.scalar import (
 __all__ = [
     "EPSILON",
     "change",
+    "display_name",
     "epoch_micros",
     "epoch_seconds",
     "finite",

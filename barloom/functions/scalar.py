@@ -63,6 +63,11 @@ def row_hash(seed: int, symbol: str = "symbol", ts: str = "bar_ts") -> Column:
     return F.md5(F.concat_ws("|", F.col(symbol), seconds, F.lit(str(seed))))
 
 
+def display_name(c: Column | str) -> Column:
+    """``model_name`` as "Model Name"."""
+    return F.initcap(F.translate(as_column(c), "_", " "))
+
+
 def names(df_columns: Sequence[str], wanted: Sequence[str]) -> list[str]:
     missing = [c for c in wanted if c not in df_columns]
     if missing:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions import change, flag, ratio, trailing
-from barloom.operators.panel import block_window
+from barloom.operators.panel import CHUNK, SYMBOL, TS, block_window, with_chunk
+from barloom.operators.scan import Running, prefix_scan
 from barloom.operators.step import Step, obv_step, running_sum
+from barloom.schema import Layout
 
 
 def volume_average() -> Step:
@@ -67,3 +69,12 @@ def vwap() -> Step:
         ]
 
     return Step(stages, series=("pv", "volume"))
+
+
+def session_vwap(bars: DataFrame, layout: Layout) -> DataFrame:
+    """Volume-weighted average price that starts anew every calendar day."""
+    dated = with_chunk(bars, layout).withColumn("_day", F.to_date(TS))
+    volume = F.col("volume").cast("double")
+    sums = {"_pv": Running("sum", F.col("close") * volume), "_v": Running("sum", volume)}
+    summed = prefix_scan(dated, (SYMBOL, "_day"), CHUNK, TS, sums)
+    return summed.withColumn("session_vwap", ratio("_pv", "_v")).drop("_day", "_pv", "_v", CHUNK)

@@ -30,8 +30,17 @@ from barloom.plans.rounding import rounded
 from barloom.plans.workflow import train_and_rank, training_rows
 from barloom.schema import FEATURE_SETS, MINI8, PRICES, Layout
 from barloom.session import checkpoint_dir, materialize
-from barloom.sources import bars_from_ticks, comparison_table, evaluation_table
-from barloom.sources.files import time_range
+from barloom.sources import (
+    bars_from_ticks,
+    comparison_table,
+    evaluation_table,
+    read_bars,
+    read_panel,
+    write_bars,
+    write_evaluation,
+    write_panel,
+)
+from barloom.sources.files import time_range, unique_bars
 from barloom.streaming import bar_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,12 +272,38 @@ def score_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.score(loaded, last_bars(panel, 6, HOURLY), names, name))
 
 
+def _fresh_folder(spark: SparkSession, kind: str) -> str:
+    return f"{checkpoint_dir(spark)}/{kind}/{uuid.uuid4()}"
+
+
+def bars_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute bars through the text format."""
+    path = _fresh_folder(spark, "csv")
+    write_bars(bars_15m(spark, sf_dir), path)
+    return rounded(read_bars(spark, path, "all"))
+
+
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars, numbered and stored."""
+    path = _fresh_folder(spark, "panels")
+    write_panel(bars_1h(spark, sf_dir), path, HOURLY)
+    return rounded(read_panel(spark, path))
+
+
+def evaluation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the rules through the result file."""
+    path = _fresh_folder(spark, "results")
+    write_evaluation(evaluate.metrics(rule_predictions(bars_1h(spark, sf_dir))), path)
+    schema = "model string, accuracy double, f1_score double, precision double, recall double"
+    return rounded(spark.read.schema(schema).option("header", True).csv(path))
+
+
 def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars from the events read as a stream, those the watermark has closed."""
     source = table(spark, sf_dir, "events")
     ticks = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     bars = bar_stream(ticks, "event_type", "ts", "value", ("ts", "event_id"), "1 hour")
-    root = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4()}"
+    root = _fresh_folder(spark, "streams")
     writer = bars.writeStream.format("parquet").option("path", f"{root}/bars")
     writer = writer.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
     writer.start().awaitTermination()
@@ -281,6 +316,10 @@ QUERIES: dict[str, Query] = {
     "bars_1h": lambda spark, sf_dir: rounded(bars_1h(spark, sf_dir)),
     "bars_15m": lambda spark, sf_dir: rounded(bars_15m(spark, sf_dir)),
     "bars_orders_1d": lambda spark, sf_dir: rounded(bars_orders_1d(spark, sf_dir)),
+    "bars_csv": bars_csv,
+    "unique_bars": _on_bars(lambda b: unique_bars(b.union(b.withColumn("open", F.col("open") + 1)))),
+    "stored_panel": stored_panel,
+    "evaluation_csv": evaluation_csv,
     "dataset_summary": _on_bars(profile.dataset_summary),
     # filters and cleaning
     "time_range": _on_bars(lambda b: time_range(b, "2024-01-08 00:00:00", "2024-01-15 00:00:00")),
@@ -327,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "volume_price_corr": _features(("price_change", "volume_price_corr"), volume.price_volume_correlation()),
     "obv": _features(("obv", "obv_ma", "obv_trend"), volume.on_balance_volume()),
     "vwap": _features(("vwap", "dist_to_vwap"), volume.vwap()),
+    "vwap_session": _on_bars(lambda b: volume.session_vwap(b, HOURLY).select(*KEY, "session_vwap")),
     # technical indicators
     "sma": _features(tuple(f"sma_{k}" for k in (5, 10, 20, 50, 100)), technical.sma()),
     "ema": _features(tuple(f"ema_{k}" for k in (5, 10, 20, 50, 100)), technical.ema()),

@@ -154,7 +154,7 @@ feat AS (
 
 # Integers and texts among the result columns; everything else is a double and is rounded.
 _EXACT = {
-    "symbol", "bar_ts", "volume", "target", "split", "fold", "rows", "bin", "label", "prediction", "model",
+    "symbol", "bar_ts", "bar_no", "volume", "target", "split", "fold", "rows", "bin", "label", "prediction", "model",
     "class", "support", "hour", "first_ts", "last_ts", "feature", "feature_a", "feature_b", "metric", "place",
     "best", "outcome", "correct", "error", "candle", "histogram_side", "signal", "higher_highs",
     "swing_high", "swing_low", "higher_high", "lower_low", "higher_low", "lower_high", "bos_bullish",
@@ -412,6 +412,12 @@ ORACLE: dict[str, str] = {
     "bars_1h": _query(BARS_1H, _BARS, "bars"),
     "bars_15m": _query(BARS_15M, _BARS, "bars"),
     "bars_orders_1d": _query(BARS_ORDERS, _BARS, "bars"),
+    "bars_csv": _query(BARS_15M, _BARS, "bars"),
+    "unique_bars": _query(BARS_1H, _BARS, "bars"),
+    "stored_panel": _query(
+        BARS_1H, [*_BARS, f"row_number() OVER ({_W}) - 1 AS bar_no"], "bars"
+    ),
+    "evaluation_csv": _query(_CELLS, ["model", *_SCORES], "cells"),
     "dataset_summary": f"{_OPEN_BARS} SELECT symbol, count(*) AS rows, min(bar_ts) AS first_ts, "
     "max(bar_ts) AS last_ts FROM bars GROUP BY symbol",
     "time_range": _query(
@@ -449,6 +455,11 @@ ORACLE: dict[str, str] = {
     "volume_price_corr": _features("price_change", "volume_price_corr"),
     "obv": _features("obv", "obv_ma", "obv_trend"),
     "vwap": _features("vwap", "dist_to_vwap"),
+    "vwap_session": _query(
+        BARS_1H,
+        ["symbol", "bar_ts", "sum(close * volume) OVER d / nullif(sum(volume) OVER d, 0) AS session_vwap"],
+        "bars WINDOW d AS (PARTITION BY symbol, CAST(bar_ts AS DATE) ORDER BY bar_ts)",
+    ),
     "sma": _features(*(f"sma_{k}" for k in AVERAGE_SPANS)),
     "ema": _averages(*(f"ema_{k}" for k in AVERAGE_SPANS)),
     "ma_flags": _features("price_above_sma20", "price_above_sma50", "ma_cross_10_20", "ma_cross_20_50"),

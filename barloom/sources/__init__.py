@@ -1,4 +1,4 @@
-from barloom.sources.files import read_bars, read_panel, write_panel
+from barloom.sources.files import read_bars, read_panel, write_bars, write_panel
 from barloom.sources.results import (
     comparison_table,
     detail_table,
@@ -15,6 +15,7 @@ __all__ = [
     "evaluation_table",
     "read_bars",
     "read_panel",
+    "write_bars",
     "write_details",
     "write_evaluation",
     "write_panel",

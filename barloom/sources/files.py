@@ -35,6 +35,15 @@ def read_bars(
     )
 
 
+def write_bars(bars: DataFrame, path: str, time_format: str = "yyyy.MM.dd HH:mm") -> None:
+    """Bars of one instrument as ``;``-separated text, as ``read_bars`` takes them."""
+    shown = bars.select(
+        F.date_format("bar_ts", time_format).alias("Date"),
+        *(F.col(c).alias(c.title()) for c in (*PRICES, "volume")),
+    )
+    shown.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
+
+
 def unique_bars(bars: DataFrame) -> DataFrame:
     """One bar per (symbol, bar_ts); of several, the smallest by all values. Combines map-side."""
     values = [c for c in bars.columns if c not in ("symbol", "bar_ts")]
@@ -58,6 +67,15 @@ def write_panel(bars: DataFrame, path: str, layout: Layout, mode: str = "overwri
     numbered.write.mode(mode).partitionBy("year").parquet(path)
 
 
-def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*BAR_SCHEMA.fields, T.StructField(BAR_NO, T.LongType())])
-    return spark.read.schema(schema).parquet(path)
+def read_panel(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """A stored panel, of the years ``first`` to ``last`` only; other years are not opened.
+
+    Cut at the front, a series begins with the first bar read, so the stored positions are left out.
+    """
+    fields = [*BAR_SCHEMA.fields, T.StructField(BAR_NO, T.LongType()), T.StructField("year", T.IntegerType())]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    if last is not None:
+        stored = stored.filter(F.col("year") <= last)
+    if first is not None:
+        return stored.filter(F.col("year") >= first).drop("year", BAR_NO)
+    return stored.drop("year")

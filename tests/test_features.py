@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from conftest import assert_same, bars_frame, collected, to_spark, walk
 
+from barloom.functions import display_name
 from barloom.operators import fibonacci, label, structure, technical, volume
 from barloom.operators.panel import tile_plan, warm_up
 from barloom.operators.step import compute
@@ -197,6 +198,17 @@ def test_zero_prices(spark):
     assert list(got.target) == [0, 1, 0, 0, 1, 0, 0]
 
 
+def test_session_vwap(spark, layout):
+    frame = walk(300, 8)
+    got = collected(volume.session_vwap(to_spark(spark, frame), layout))
+    by_day = frame.assign(pv=frame.close * frame.volume).groupby(frame.bar_ts.dt.date)
+    assert_same(got.session_vwap, by_day.pv.cumsum() / by_day.volume.cumsum())
+
+
+def test_display_name(spark):
+    assert spark.sql("SELECT 'cv_f1_mean' AS m").select(display_name("m")).first()[0] == "Cv F1 Mean"
+
+
 def test_single_bar(spark):
     got = run(spark, bars_frame([7.0]), *full77_steps(), label.target())
     assert np.isnan(got.bb_upper[0]) and np.isnan(got.price_change[0]) and np.isnan(got.obv[0])

@@ -121,6 +121,17 @@ def test_stored_panel_prunes_columns(spark, tmp_path, layout):
     assert "open" not in schema and "volume" not in schema and "close" in schema
 
 
+def test_stored_years(spark, tmp_path, layout):
+    frame = walk(60)
+    frame["bar_ts"] = frame["bar_ts"] + pd.to_timedelta(np.arange(60) * 20, unit="D")
+    write_panel(to_spark(spark, frame), str(tmp_path / "panel"), layout)
+    late = read_panel(spark, str(tmp_path / "panel"), first=2025)
+    assert late.count() == (frame.bar_ts.dt.year >= 2025).sum() and "bar_no" not in late.columns
+    assert "PartitionFilters: [isnotnull(year" in plan_of(late)
+    early = read_panel(spark, str(tmp_path / "panel"), last=2024)
+    assert early.count() == (frame.bar_ts.dt.year <= 2024).sum() and "bar_no" in early.columns
+
+
 def test_one_dominant_symbol_is_many_tasks(spark):
     chosen = Layout(every=900, chunk_rows=500, block_rows=500)
     framed = spread(number_bars(to_spark(spark, walk(5000)), chosen), chosen, back=20)
