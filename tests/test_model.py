@@ -135,9 +135,9 @@ def test_bar_file(spark, tmp_path):
     lines = ["Date;Open;High;Low;Close;Volume", "2022.01.03 01:15;2;3;1;2.5;7", "2022.01.03 01:00;1;2;0.5;1.5;9",
              "2021.12.31 23:45;1;1;1;1;1"]
     (tmp_path / "bars.csv").write_text("\n".join(lines))
-    got = collected(years(read_bars(spark, str(tmp_path / "bars.csv"), "GOLD"), 2022, 2025))
+    got = collected(years(read_bars(spark, str(tmp_path / "bars.csv"), "ABC"), 2022, 2025))
     assert got.close.tolist() == [1.5, 2.5] and got.volume.tolist() == [9, 7]
-    assert str(got.bar_ts[0]) == "2022-01-03 01:00:00" and set(got.symbol) == {"GOLD"}
+    assert str(got.bar_ts[0]) == "2022-01-03 01:00:00" and set(got.symbol) == {"ABC"}
 
 
 def test_duplicate_bars(spark):

@@ -15,7 +15,8 @@ from barloom.operators.step import compute
 from barloom.operators.technical import rsi, sma
 from barloom.plans.features import feature_panel
 from barloom.schema import Layout
-from barloom.sources import read_panel, write_panel
+from barloom.sources import read_bars, read_panel, write_panel
+from barloom.sources.files import years
 
 
 def test_numbers_are_dense_over_gaps(spark, layout):
@@ -121,6 +122,12 @@ def test_stored_panel_prunes_columns(spark, tmp_path, layout):
     assert "open" not in schema and "volume" not in schema and "close" in schema
 
 
+def test_time_range_reaches_the_scan(spark, tmp_path):
+    to_spark(spark, walk(50)).write.parquet(str(tmp_path / "bars"))
+    plan = plan_of(years(read_bars(spark, str(tmp_path / "bars"), fmt="parquet"), 2022, 2025))
+    assert "GreaterThanOrEqual(bar_ts,2022-01-01T00:00)" in plan and "LessThan(bar_ts,2026-01-01T00:00)" in plan
+
+
 def test_stored_years(spark, tmp_path, layout):
     frame = walk(60)
     frame["bar_ts"] = frame["bar_ts"] + pd.to_timedelta(np.arange(60) * 20, unit="D")
