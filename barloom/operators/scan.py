@@ -131,26 +131,15 @@ def fill_scan(df: DataFrame, keys: Sequence[str], piece: str, order: str, column
     return df.join(carried, [*keys, piece], "left").withColumns(filled).select(*df.columns)
 
 
-def moments(df: DataFrame, keys: Sequence[str], piece: str, columns: Mapping[str, Column]) -> DataFrame:
-    """Mean and sample deviation of each column over the whole series, one row per (keys, piece).
-
-    The result repeats the statistics of a series on each of its pieces, so that a join back to the
-    rows runs on (keys, piece) and a series with most of the rows does not land in one task.
-    """
-    parts = []
-    for name, c in columns.items():
-        parts += [
-            F.count(c).alias(f"_n_{name}"),
-            F.avg(c).alias(f"_mean_{name}"),
-            (F.var_pop(c) * F.count(c)).alias(f"_m2_{name}"),
-        ]
-    return pooled(df.groupBy(*keys, piece).agg(*parts), keys, piece, columns)
-
-
 def pooled(
     parts: DataFrame, keys: Sequence[str], piece: str, names: Iterable[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Combine count, mean and squared deviation of the pieces of a series."""
+    """Mean and sample deviation over a whole series, from count (``_n_``), mean (``_mean_``) and squared
+    deviation (``_m2_``) of its pieces.
+
+    The result repeats them on each piece, so that a join back to the rows runs on (keys, piece) and a
+    series with most of the rows does not land in one task.
+    """
     series = Window.partitionBy(*keys)
     out = []
     for name in names:

@@ -198,7 +198,7 @@ def _scaled(bars: DataFrame) -> DataFrame:
     return scaler.transform(divided)
 
 
-def _sweep_labels(bars: DataFrame) -> DataFrame:
+def _known_labels(bars: DataFrame) -> DataFrame:
     return compute(bars, HOURLY, label.target(drop_unlabelled=True)).select(*KEY, "target")
 
 
@@ -386,7 +386,7 @@ QUERIES: dict[str, Query] = {
     "candle_shape": _features(("body", "upper_shadow", "lower_shadow"), technical.candle_shape()),
     # label and feature sets
     "target": _features(("close", "target"), label.target()),
-    "target_known": _on_bars(lambda b: label.labelled(_sweep_labels(b))),
+    "target_known": _on_bars(lambda b: label.labelled(_known_labels(b))),
     "label_distribution": _on_bars(lambda b: label.label_distribution(_labelled(b))),
     "features_full77": _feature_set("full77"),
     "features_core24": _feature_set("core24"),
