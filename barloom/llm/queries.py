@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, decontaminate, exact_dedup, secrets, token_counts, url_filter
+from barloom.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+)
 from barloom.llm.common import table
 
 
@@ -21,7 +31,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The owner of a document is its source, the repository its source and language."""
     owner = F.col("source")
-    return secrets.scan_secrets(table(spark, sf_dir, "documents"), owner, F.concat_ws("/", owner, "lang"))
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"), owner, F.concat_ws("/", owner, "lang"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,10 +46,23 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_strings(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes are the quality labels of the pages that have one under their id."""
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
@@ -52,6 +75,9 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
+    "op6_quality": op6_quality,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_url_filter": op10_url_filter,
 }
