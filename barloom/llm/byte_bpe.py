@@ -287,10 +287,12 @@ def decode(encoded: DataFrame, ranks_path: str, id_column: str = "doc_id", ids_c
     return source.mapInArrow(run, f"id {kind}, decoded binary").withColumnRenamed("id", id_column)
 
 
-def digests(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): each text encoded, its ids decoded, both as digests.
+def digests(
+    docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256[, ids]): each text encoded, its ids decoded, both as digests.
 
-    Encoding and decoding share a pass, so that ids need not leave the task.
+    Encoding and decoding share a pass, so that ids need not leave the task unless they are asked for.
     """
     source, kind = _frames(docs, id_column, text_column)
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
@@ -305,10 +307,12 @@ def digests(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_co
                 ids = codec.encode(texts[a:b])
                 shown = [hashlib.sha256(" ".join(map(decimal.__getitem__, x.tolist())).encode()).hexdigest() for x in ids]
                 back = [hashlib.sha256(codec.decode(x)).hexdigest() for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(list(map(len, ids)), pa.int64()), pa.array(shown), pa.array(back)],
-                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    out = source.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                columns = [batch.column(0).slice(a, b - a), pa.array(list(map(len, ids)), pa.int64()), pa.array(shown), pa.array(back)]
+                if with_ids:
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
+
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    out = source.mapInArrow(run, schema)
     return out.withColumnRenamed("id", id_column)

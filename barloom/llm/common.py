@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.session import checkpoint_dir
 
@@ -49,6 +50,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Up to so many ids a list of documents is broadcast; a longer one is joined.
+BROADCAST_IDS = 1_000_000
+
+
+def listed(ids: DataFrame) -> DataFrame:
+    """A list of ids to join with: broadcast when it is counted to be short."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def without(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids``; rows with a null id stay."""
+    return docs.join(listed(ids.select(id_column).distinct()), id_column, "left_anti").select(docs.columns)
+
+
 def spread(df: DataFrame, column: str) -> int:
     """Number of partitions for a shuffle whose receivers run Python: the session's setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import PIECE_BYTES, cut, pieces, spread, utf8_of
+from barloom.llm.common import PIECE_BYTES, cut, listed, pieces, spread, utf8_of
 from barloom.llm.suffix_dedup import _base, _mixed, _powers
 
 CELLS = 1 << 22
@@ -43,8 +43,6 @@ SEGMENTS = 64
 GROUP = 64
 #: Documents that ask a group in one task.
 ASKERS = 256
-#: Up to so many ids a list of documents is broadcast; a longer one is joined.
-BROADCAST_IDS = 1_000_000
 #: Prefix shingles of a bucket that a task holds before it merges them.
 HELD = 1 << 20
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -52,8 +50,11 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def shingle_sets(data: np.ndarray, ends: np.ndarray, n: int) -> list[np.ndarray]:
-    """The set of each text as sorted distinct hashes; ``ends`` has one entry more than there are texts."""
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, A-Z lower-cased; first word of each text and past the last).
+
+    ``ends`` are the offsets of the texts in ``data``, one more than there are texts.
+    """
     count = len(ends) - 1
     # A white byte behind each text keeps words apart.
     padded = np.full(len(data) + count, 0x20, np.uint8)
@@ -70,7 +71,12 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, n: int) -> list[np.ndarray]
     np.cumsum(values[padded] * up[: len(padded)], out=sums[1:])
     word = _mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
     owner = np.searchsorted(ends[1:] + np.arange(1, count + 1), first, "right")
-    starts = np.searchsorted(owner, np.arange(count + 1))
+    return word, np.searchsorted(owner, np.arange(count + 1))
+
+
+def shingle_sets(data: np.ndarray, ends: np.ndarray, n: int) -> list[np.ndarray]:
+    """The set of each text as sorted distinct hashes; ``ends`` has one entry more than there are texts."""
+    word, starts = word_hashes(data, ends)
     odd = np.uint64(0x9E3779B97F4A7C15)
     rolled = np.zeros(max(0, len(word) - n + 1), np.uint64)
     for k in range(n):
@@ -296,9 +302,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     sizes = cut(sizes.join(postings.select("id").distinct(), "id"))
 
     # Sets of the documents that share a prefix shingle.
-    wanted = sizes.select("id")
-    if sizes.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    wanted = listed(sizes.select("id"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,6 +11,7 @@ from barloom.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    lm_scoring,
     quality,
     secret_scan,
     suffix_dedup,
@@ -28,6 +29,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are the documents labelled as good, without those that are held out; all others are the background."""
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where((F.col("quality") == 1) & ~quality.held_out(F.col("doc_id"))).select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The owner of a document is its source, the repository its source and language."""
     owner = F.col("source")
@@ -73,6 +81,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
