@@ -41,13 +41,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Lets Spark delete the shuffle files of a query when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder, so that a lost executor costs no recomputation."""
-    folder = checkpoint_dir(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """``df`` written once to the shared checkpoint folder, so that a lost executor costs no recomputation.
+
+    The shuffle files behind it are not needed any more and go at once, instead of when the driver next collects
+    its garbage; so a chain of steps takes the disk of its largest step and not of all.
+    """
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a new query, which takes the setting
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 #: Up to so many ids a list of documents is broadcast; a longer one is joined.
