@@ -9,9 +9,10 @@ Every text becomes its set of distinct shingles of ``n`` words. Two sets link wh
    has are dropped where they meet.
 3. Each document with a shared prefix shingle is first compared with a hub: among the documents that share such a shingle with it,
    the one whose shingles are the most common. Large families of near copies collapse onto their hubs in linear work.
-4. Documents of the components so far are put into groups of about ``GROUP`` members. The token-group matrix says which groups hold a prefix shingle.
-   A document of another component asks a group only if it shares one; the sizes and the overlap with the union of the
-   group's shingles bound what it can share with a member, and only groups that pass the bound are opened.
+4. Documents near the same hub are put into groups of about ``GROUP`` members, those of the hub's component apart from the others.
+   The token-group matrix says which groups hold a prefix shingle; shingles that the same groups hold share a column. A document asks
+   a group only if it shares a column and the group has members of another component; sizes and the overlap with the
+   union of the group's shingles bound what it can share with a member, and only groups that pass the bound are opened.
 5. Links between components are merged by star contraction.
 
 A pair inside a component needs no comparison, so nothing is lost. No step gathers a posting list, a class, a group of copies or
@@ -35,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import PIECE_BYTES, cut, listed, pieces, spread, utf8_of
+from barloom.llm.common import PIECE_BYTES, cut, listed, pieces, spread, utf8_of, without
 from barloom.llm.suffix_dedup import _base, _mixed, _powers
 
 CELLS = 1 << 22
@@ -258,28 +259,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _links(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between documents that ask (group, id) and members (group, id) of the groups.
+    """(a, b): links between documents that ask groups and members of the groups; both are (group, id, component).
 
     The documents that ask a group are split into parts of about ``ASKERS``; each part has the group's members.
+    Documents of the same component are not compared.
     """
     parts = asked.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("parts"))
-    one = asked.join(parts, "group").select("group", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), "id", F.lit(False).alias("member"))
-    two = members.join(parts, "group").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", F.lit(True).alias("member"))
-    rows = one.unionByName(two).join(sets, "id")
+    part = F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")
+    one = asked.join(parts, "group").select("group", part, "id", "component", F.lit(False).alias("member"))
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    two = members.join(parts, "group").select("group", part, "id", "component", F.lit(True).alias("member"))
+    rows = sets.join(listed(one.unionByName(two)), "id")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         inside = rows[rows["member"]]
         held = [np.frombuffer(x, np.uint64) for x in inside["shingles"]]
         union = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
-        found = []
-        for i, raw in zip(rows.loc[~rows["member"], "id"], rows.loc[~rows["member"], "shingles"], strict=True):
+        own_of, found = list(zip(inside["id"], inside["component"], held, strict=True)), []
+        asking = rows[~rows["member"]]
+        for i, component, raw in zip(asking["id"], asking["component"], asking["shingles"], strict=True):
             own = np.frombuffer(raw, np.uint64)
             at = np.minimum(np.searchsorted(union, own), max(0, len(union) - 1))
             shared = own[union[at] == own] if len(union) else own[:0]
             if len(shared) < _needed(len(own), percent):
                 continue  # the bound: no member shares more with it than the union does
-            for j, other in zip(inside["id"], held, strict=True):
-                if i == j or min(len(own), len(other)) * 100 < percent * max(len(own), len(other)):
+            for j, other_component, other in own_of:
+                if component == other_component or min(len(own), len(other)) * 100 < percent * max(len(own), len(other)):
                     continue
                 at = np.minimum(np.searchsorted(other, shared), len(other) - 1)
                 both = int((other[at] == shared).sum())
@@ -294,11 +299,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     """(id, n_shingles, component_id) of each row of ``docs``."""
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     described = cut(_described(source, _sketch(source, n), n, percent))
-    classes = described.where("size > 0 AND id IS NOT NULL").groupBy("signature").agg(F.min("id").alias("class"))
-    classes = cut(classes)
-    alone = described.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    postings = cut(_postings(alone.select("id", "prefix")))
-    sizes = described.where("size > 0").groupBy("id").agg(F.max("size").alias("size"), F.max("common").alias("common"))
+    full = described.where("size > 0 AND id IS NOT NULL")
+    classes = cut(full.groupBy("signature").agg(F.min("id").alias("class")))
+    copies = full.select("id", "signature").join(classes, "signature").where("id <> class")
+    alone = without(full.select("id", "prefix"), copies, "id")
+    postings = cut(_postings(alone))
+    sizes = full.groupBy("id").agg(F.max("size").alias("size"), F.max("common").alias("common"))
     sizes = cut(sizes.join(postings.select("id").distinct(), "id"))
 
     # Sets of the documents that share a prefix shingle.
@@ -312,7 +318,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
                 ids = batch.column(0).take(pa.array([i for i, _ in part], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([x for _, x in part], pa.binary())], names=["id", "shingles"])
 
-    sets = cut(source.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, shingles binary").dropDuplicates(["id"]))
+    sets = cut(source.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, shingles binary"))
 
     # Hubs: per token, then the best one per document.
     placed = cut(postings.join(sizes, "id"))
@@ -321,29 +327,51 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     near = placed.join(hubs, "token").where("id != -hub.back").where(
         F.least("size", "hub.size") * 100 >= percent * F.greatest("size", "hub.size")
     )
-    asked = near.groupBy("id").agg((-F.max(F.struct("hub.common", "hub.back"))["back"]).alias("group"))
-    asked = cut(asked)
-    members = asked.select("group", F.col("group").alias("id")).distinct()
+    anchors = cut(near.groupBy("id").agg((-F.max(F.struct("hub.common", "hub.back"))["back"]).alias("anchor")))
+    asked = anchors.select(F.col("anchor").alias("group"), "id", F.col("id").alias("component"))
+    members = anchors.select(F.col("anchor").alias("group"), F.col("anchor").alias("id"), F.col("anchor").alias("component")).distinct()
     first = cut(_links(asked, members, sets, percent))
-    known = components(first)
-
-    # Groups of the components, and who asks them.
-    placed = placed.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    crowd = placed.select("id", "component").distinct().groupBy("component").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups"))
-    placed = placed.join(crowd, "component").withColumn("group", F.xxhash64("component", F.pmod(F.xxhash64("id"), "groups")))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = cut(placed.join(mixed.select("token"), "token").select("token", "id", "component", "size", "group"))
-    matrix = placed.groupBy("token", "group", "component").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    known = cut(components(first))
+
+    # Groups: documents near the same hub, those of its component apart from the others.
+    component = F.coalesce("component", "id").alias("component")
+    placed_docs = sizes.join(known, "id", "left").join(anchors, "id", "left")
+    placed_docs = placed_docs.select("id", "size", component, F.coalesce("anchor", "id").alias("anchor"))
+    hub_component = known.select(F.col("id").alias("anchor"), F.col("component").alias("of_anchor"))
+    placed_docs = cut(
+        placed_docs.join(hub_component, "anchor", "left").withColumn(
+            "inside", F.col("component") == F.coalesce("of_anchor", "anchor")
+        )
+    )
+    crowd = placed_docs.groupBy("anchor", "inside").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups"))
+    number = F.xxhash64("anchor", "inside", F.pmod(F.xxhash64("id"), "groups")).alias("group")
+    grouped = cut(placed_docs.join(crowd, ["anchor", "inside"]).select("id", "size", "component", number))
+    bounds = grouped.groupBy("group").agg(
+        F.min("size").alias("least"), F.max("size").alias("most"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+
+    # The token-group matrix. Tokens held by the same groups are one column of it.
+    cells = postings.join(grouped.select("id", "component", "group"), "id")
+    cells = cells.groupBy("token", "group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mark = lambda seed: F.sum(F.xxhash64("group", F.lit(seed)).cast("decimal(20,0)"))
+    held = cells.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("groups"), mark(1).alias("m1"), mark(2).alias("m2"))
+    held = cut(held.where("low < high").drop("low", "high"))
+    column = held.groupBy("groups", "m1", "m2").agg(F.min("token").alias("column"))
+    columns = cut(held.join(column, ["groups", "m1", "m2"]).select("token", "column"))
+    matrix = cells.withColumnRenamed("token", "column").join(columns.select("column").distinct(), "column", "left_semi")
+    matrix = matrix.select("column", "group")
+    asking = postings.join(columns, "token").select("column", "id").distinct().join(grouped, "id")
     asked = (
-        placed.select("token", "id", "size", F.col("component").alias("own"))
-        .join(matrix, "token")
-        .where((F.col("own") > F.col("component")) & (F.col("size") * 100 >= percent * F.col("least")) & (F.col("most") * 100 >= percent * F.col("size")))
-        .select("group", "id")
+        asking.withColumnRenamed("group", "own_group")
+        .join(matrix.join(bounds, "group"), "column")
+        .where("own_group <= group AND NOT (low = component AND high = component)")
+        .where((F.col("size") * 100 >= percent * F.col("least")) & (F.col("most") * 100 >= percent * F.col("size")))
+        .select("group", "id", "component")
         .distinct()
     )
     asked = cut(asked)
-    members = placed.select("group", "id").distinct().join(asked.select("group").distinct(), "group", "left_semi")
-    second = _links(asked, members, sets, percent)
+    members = grouped.join(asked.select("group").distinct(), "group", "left_semi").select("group", "id", "component")
+    second = cut(_links(asked, members, sets, percent))
     final = components(first.unionByName(second))
 
     named = described.select("id", "size", "signature").join(classes, "signature", "left")
