@@ -59,8 +59,8 @@ def time_bucket(ts: Column | str, seconds: int) -> Column:
 
 def row_hash(seed: int, symbol: str = "symbol", ts: str = "bar_ts") -> Column:
     """Reproducible pseudo-random key of a row: 32 hex digits."""
-    seconds = epoch_seconds(ts).cast("string")
-    return F.md5(F.concat_ws("|", F.col(symbol), seconds, F.lit(str(seed))))
+    micros = epoch_micros(ts).cast("string")
+    return F.md5(F.concat_ws("|", F.col(symbol), micros, F.lit(str(seed))))
 
 
 def display_name(c: Column | str) -> Column:

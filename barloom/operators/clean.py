@@ -73,7 +73,9 @@ def sigma_filter(
     fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """Drop bars with a price outside its bounds; ``fit_on`` takes the bounds from other bars."""
-    bounds = sigma_bounds(bars if fit_on is None else fit_on, layout, columns, width)
+    if fit_on is None:
+        bars = fit_on = materialize(bars)  # read once for each column and once more for the result
+    bounds = sigma_bounds(fit_on, layout, columns, width)
     return _inside(attach_series(bars, bounds, layout), columns).select(*bars.columns)
 
 

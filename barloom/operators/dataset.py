@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import finite, row_hash, zero_if_missing
@@ -27,7 +27,16 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 def select_features(df: DataFrame, wanted: Sequence[str], keep: Sequence[str] = ("symbol", "bar_ts", "target")):
     """Keys, label and the listed features, which may use another published spelling."""
-    resolved = [c if c in df.columns else ALIASES.get(c, c) for c in wanted]
+    spelled = {c.lower(): c for c in df.columns}
+
+    def resolve(c: str) -> str:
+        if c in df.columns:
+            return c
+        plain = c.lower()
+        other = {ours: theirs for theirs, ours in ALIASES.items()}.get(plain, plain)
+        return spelled.get(plain) or spelled.get(ALIASES.get(plain, plain)) or spelled.get(other) or c
+
+    resolved = [resolve(c) for c in wanted]
     names(df.columns, resolved)
     return df.select(*(k for k in keep if k in df.columns), *(F.col(r).alias(c) for r, c in zip(resolved, wanted)))
 
@@ -82,9 +91,8 @@ def folds(df: DataFrame, k: int = 5, label: str | Sequence[str] = "target", seed
 def class_weights(df: DataFrame, label: str = "target") -> DataFrame:
     """Balanced weight of each of the two classes: n / (2 n_class)."""
     counts = df.groupBy(label).agg(F.count("*").alias("rows"))
-    all_rows = counts.agg(F.sum("rows").alias("_all"))
-    weighted = counts.crossJoin(F.broadcast(all_rows))  # one row
-    return weighted.select(label, "rows", (F.col("_all") / (2 * F.col("rows"))).alias("weight"))
+    every = F.sum("rows").over(Window.partitionBy())  # over a row per class
+    return counts.select(label, "rows", (every / (2 * F.col("rows"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str = "target") -> DataFrame:

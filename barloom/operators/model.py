@@ -117,7 +117,7 @@ class Searched:
 
 
 def cross_validate(
-    train: DataFrame, preparation: Preparation, kind: str, rows: int, points: Sequence[Mapping] = ({},),
+    train: DataFrame, preparation: Preparation, kind: str, points: Sequence[Mapping] = ({},),
     balanced: bool = True, k: int = 5, parallelism: int = 4,
 ) -> Searched:
     """Score parameter points by their mean F1 of class 1 over the folds in column ``fold``; refit the best.
@@ -125,10 +125,12 @@ def cross_validate(
     The prepared rows are cached once; every fit and evaluation is a Spark job over them, a few at a time.
     """
     prepared = preparation.model().transform(with_class_weights(train)).persist()
+    held = {r["fold"]: r["rows"] for r in prepared.groupBy("fold").agg(F.count("*").alias("rows")).collect()}
+    rows = sum(held.values())
 
     def fold_score(task: tuple[int, int]) -> float:
         point, fold = task
-        classifier = estimator(kind, rows, balanced, **points[point])
+        classifier = estimator(kind, rows - held.get(fold, 0), balanced, **points[point])
         fitted = classifier.fit(prepared.filter(F.col("fold") != fold))
         return f1_of_class_1(fitted.transform(prepared.filter(F.col("fold") == fold)))
 
@@ -182,13 +184,13 @@ def importances(spark: SparkSession, models: Mapping[str, PipelineModel], featur
     return spark.createDataFrame(rows, "feature string, model string, importance double")
 
 
-def importance_top(importance: DataFrame, n: int = 20) -> DataFrame:
-    """Mean over the models, models side by side, and the cumulative share, best n features."""
+def importance_top(importance: DataFrame, n: int = 20, by: str | None = None) -> DataFrame:
+    """Models side by side, their mean and its cumulative share; the best n features by the mean, or by one model."""
     wide = importance.groupBy("feature").pivot("model").agg(F.first("importance"))
     mean = importance.groupBy("feature").agg(F.avg("importance").alias("mean"))
     running = Window.orderBy(F.desc("mean"), "feature").rowsBetween(Window.unboundedPreceding, 0)
     joined = wide.join(mean, "feature").withColumn("cumulative", F.sum("mean").over(running))
-    return joined.orderBy(F.desc("mean"), "feature").limit(n)
+    return joined.orderBy(F.desc(by or "mean"), "feature").limit(n)
 
 
 def pca(prepared: DataFrame, k: int):
@@ -209,7 +211,7 @@ def random_subset(df: DataFrame, n: int = 5000, seed: int = SEED) -> DataFrame:
 
 
 def learning_curve(
-    train: DataFrame, preparation: Preparation, classifier: Estimator,
+    train: DataFrame, preparation: Preparation, kind: str, params: Mapping,
     shares: Sequence[float] = tuple(i / 10 for i in range(1, 11)), k: int = 5,
 ) -> DataFrame:
     """F1 on nested training samples and on the held-out fold, mean and population deviation."""
@@ -223,7 +225,7 @@ def learning_curve(
             for fold in range(k):
                 inside = prepared.filter((F.col("fold") != fold) & (F.col("_unit") <= share))
                 held_out = prepared.filter(F.col("fold") == fold)
-                model = classifier.fit(inside)
+                model = estimator(kind, inside.count(), **params).fit(inside)
                 for part, data in (("train", inside), ("validation", held_out)):
                     rows.append((share, part, f1_of_class_1(model.transform(data))))
     finally:

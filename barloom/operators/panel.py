@@ -52,9 +52,13 @@ def measured_layout(bars: DataFrame, every: int, rows: int = 50_000) -> Layout:
 
 def last_bars(bars: DataFrame, n: int, layout: Layout) -> DataFrame:
     """The latest n bars of each series, without sorting a series."""
-    if BAR_NO in bars.columns:
-        bars = bars.drop(BAR_NO)
     chunked = with_chunk(bars, layout)
+    if BAR_NO in bars.columns:
+        ends = chunked.groupBy(SYMBOL, CHUNK).agg(F.max(BAR_NO).alias("_end"))
+        latest = F.max("_end").over(Window.partitionBy(SYMBOL))  # over a row per chunk
+        ends = ends.select(SYMBOL, CHUNK, "_end", latest.alias("_latest")).filter(F.col("_end") > F.col("_latest") - n)
+        kept = chunked.join(ends, [SYMBOL, CHUNK]).filter(F.col(BAR_NO) > F.col("_latest") - n)
+        return kept.select(*bars.columns)
     one = F.lit(1).cast("bigint")
     ranked = prefix_scan(chunked, (SYMBOL,), CHUNK, TS, {"_from_end": Running("sum", one)}, ascending=False)
     return ranked.filter(F.col("_from_end") <= n).drop("_from_end", CHUNK)

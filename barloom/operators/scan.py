@@ -113,8 +113,9 @@ def fill_scan(df: DataFrame, keys: Sequence[str], piece: str, order: str, column
                 F.last(f"_last_{c}", ignorenulls=True).over(pieces.rowsBetween(_START, -1)).alias(f"_before_{c}")
                 for c in columns
             ),
+            # Own piece included: a row that nothing before it fills lies before the first known value of its piece.
             *(
-                F.first(f"_first_{c}", ignorenulls=True).over(pieces.rowsBetween(1, _END)).alias(f"_after_{c}")
+                F.first(f"_first_{c}", ignorenulls=True).over(pieces.rowsBetween(0, _END)).alias(f"_after_{c}")
                 for c in columns
             ),
         )
@@ -123,7 +124,6 @@ def fill_scan(df: DataFrame, keys: Sequence[str], piece: str, order: str, column
         c: F.coalesce(
             F.last(c, ignorenulls=True).over(inside.rowsBetween(_START, 0)),
             F.col(f"_before_{c}"),
-            F.first(c, ignorenulls=True).over(inside.rowsBetween(0, _END)),
             F.col(f"_after_{c}"),
         )
         for c in columns

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.operators import (
     backtest,
@@ -40,7 +41,7 @@ from barloom.sources import (
     write_evaluation,
     write_panel,
 )
-from barloom.sources.files import time_range, unique_bars
+from barloom.sources.files import unique_bars
 from barloom.streaming import bar_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,11 @@ def bars_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_from_ticks(events, "event_type", "ts", "value", ("ts", "event_id"), "1 hour")
 
 
+def _bars_of_a_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, week = table(spark, sf_dir, "events"), ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
+    return bars_from_ticks(events, "event_type", "ts", "value", ("ts", "event_id"), "1 hour", None, *week)
+
+
 def bars_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return bars_from_ticks(events, F.lit("all"), "ts", "value", ("ts", "event_id"), "15 minutes")
@@ -76,8 +82,13 @@ def _features(columns: Sequence[str], *steps: Step) -> Query:
     return query
 
 
-def _on_bars(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: rounded(build(bars_1h(spark, sf_dir)))
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars, written once: what reads bars several times need not read the ticks again."""
+    return materialize(bars_1h(spark, sf_dir))
+
+
+def _on_bars(build: Callable[[DataFrame], DataFrame], source: Query = bars_1h) -> Query:
+    return lambda spark, sf_dir: rounded(build(source(spark, sf_dir)))
 
 
 def _feature_set(name: str) -> Query:
@@ -127,13 +138,16 @@ def rule_predictions(bars: DataFrame, rules: Sequence[str] = RULES) -> DataFrame
 
 
 def _on_rules(build: Callable[[DataFrame], DataFrame], rules: Sequence[str] = RULES) -> Query:
-    return lambda spark, sf_dir: rounded(build(rule_predictions(bars_1h(spark, sf_dir), rules)))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(build(materialize(rule_predictions(stored_bars(spark, sf_dir), rules))))
+
+    return query
 
 
 def _with_bars(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bars = bars_1h(spark, sf_dir)
-        return rounded(build(rule_predictions(bars, ("rsi",)), bars))
+        bars = stored_bars(spark, sf_dir)
+        return rounded(build(materialize(rule_predictions(bars, ("rsi",))), bars))
 
     return query
 
@@ -161,26 +175,28 @@ def _with_gaps(bars: DataFrame) -> DataFrame:
 
 
 def _equity(pred: DataFrame, bars: DataFrame) -> DataFrame:
-    """The event values jump so much that growth is shown as its logarithm."""
+    """The event values jump so much that growth is shown as its sign and logarithm."""
     curve = backtest.equity(pred, bars, HOURLY)
     return curve.select(
         *KEY, "close", F.col("position").cast("double").alias("position"), "strategy_return",
-        F.ln("cumulative_return").alias("log_strategy"), F.ln("buy_hold_return").alias("log_buy_hold"),
-        F.ln("running_max").alias("log_running_max"), "drawdown",
+        F.col("sign").cast("double").alias("sign_strategy"),
+        F.when(F.col("sign") > 0, F.col("log_return")).alias("log_strategy"),
+        F.when(F.col("hold_sign") > 0, F.col("log_hold")).alias("log_buy_hold"),
+        F.col("log_max").alias("log_running_max"), "drawdown",
     )
 
 
 def _backtest_summary(pred: DataFrame, bars: DataFrame) -> DataFrame:
     total = backtest.summary(backtest.equity(pred, bars, HOURLY))
     return total.select(
-        "symbol", F.ln(1 + F.col("total_return")).alias("log_strategy"),
-        F.ln(1 + F.col("buy_hold_return")).alias("log_buy_hold"), "sharpe", "max_drawdown",
+        "symbol", F.when(F.col("sign") > 0, F.col("log_return")).alias("log_strategy"),
+        F.when(F.col("hold_sign") > 0, F.col("log_hold")).alias("log_buy_hold"), "sharpe", "max_drawdown",
     )
 
 
 def _error_by_quintile(pred: DataFrame, bars: DataFrame) -> DataFrame:
     steps = (technical.rsi(), technical.volatility(), volume.volume_average())
-    return charts.error_tables(materialize(pred), _stored(compute(bars, HOURLY, *steps), charts.ERROR_DRIVERS))[
+    return charts.error_tables(pred, _stored(compute(bars, HOURLY, *steps), charts.ERROR_DRIVERS))[
         "by_quantile"
     ]
 
@@ -204,7 +220,7 @@ def _known_labels(bars: DataFrame) -> DataFrame:
 
 def _train(kind: str, **params) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = training_rows(bars_1h(spark, sf_dir), HOURLY, "mini8")
+        rows = training_rows(stored_bars(spark, sf_dir), HOURLY, "mini8")
         done = train_and_rank(rows, "mini8", presets={kind: params})
         return rounded(evaluation_table(done.results))
 
@@ -219,24 +235,22 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_rows(bars_1h(spark, sf_dir), HOURLY, "mini8")
-    presets = {k: model.PRESETS["core24"][k] for k in ("logistic_regression", "linear_svm")}
-    return rounded(comparison_table(train_and_rank(rows, "mini8", presets=presets).results))
+    """All models with their published parameters."""
+    rows = training_rows(stored_bars(spark, sf_dir), HOURLY, "mini8")
+    return rounded(comparison_table(train_and_rank(rows, "mini8", presets=model.PRESETS["core24"]).results))
 
 
 def _prepared(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, model.Preparation]:
-    rows = training_rows(bars_1h(spark, sf_dir), HOURLY, name)
+    rows = training_rows(stored_bars(spark, sf_dir), HOURLY, name)
     train = materialize(dataset.folds(dataset.split_random(rows).filter("split = 'train'")))
     return train, model.Preparation.fit(train, FEATURE_SETS[name])
 
 
 def importance_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, preparation = _prepared(spark, sf_dir, "core24")
+    presets = model.PRESETS["core24"]
     models = {
-        "random_forest": model.fit(train, preparation, model.estimator("random_forest", 1, numTrees=20, maxDepth=6)),
-        "gradient_boosting": model.fit(
-            train, preparation, model.estimator("gradient_boosting", 1, maxIter=5, maxDepth=4)
-        ),
+        k: model.fit(train, preparation, model.estimator(k, 1, **presets[k])) for k in ("random_forest", "gradient_boosting")
     }
     return rounded(model.importance_top(model.importances(spark, models, preparation.features)))
 
@@ -244,29 +258,28 @@ def importance_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, preparation = _prepared(spark, sf_dir, "core24")
     prepared = preparation.model().transform(train)
-    return rounded(charts.dimensionality(prepared)["variance"])
+    return rounded(charts.dimensionality(prepared, len(preparation.features))["variance"])
 
 
 def pca_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, preparation = _prepared(spark, sf_dir, "core24")
     prepared = preparation.model().transform(train)
-    return rounded(charts.dimensionality(prepared, k=2)["scores"])
+    return rounded(charts.dimensionality(prepared, len(preparation.features))["scores"])
 
 
 def learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, preparation = _prepared(spark, sf_dir, "mini8")
-    classifier = model.estimator("logistic_regression", train.count(), C=1.0)
-    return rounded(model.learning_curve(train, preparation, classifier, shares=(0.2, 0.6, 1.0)))
+    return rounded(model.learning_curve(train, preparation, "logistic_regression", {"C": 1.0}))
 
 
 def score_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, store, load, and score the bars whose outcome is not known yet."""
-    bars = bars_1h(spark, sf_dir)
-    panel = feature_panel(bars, HOURLY, "mini8", drop_unlabelled=False)
-    rows = dataset.finite_rows(dataset.select_features(panel, MINI8), MINI8)
+    panel = feature_panel(stored_bars(spark, sf_dir), HOURLY, "mini8", drop_unlabelled=True)
+    panel = materialize(panel)
+    rows = dataset.finite_rows(dataset.select_features(label.labelled(panel), MINI8), MINI8)
     preparation = model.Preparation.fit(rows, MINI8)
     fitted = model.fit(rows, preparation, model.estimator("logistic_regression", rows.count(), C=1.0))
-    path = f"{checkpoint_dir(spark)}/bundles/score_new_rows"
+    path = _fresh_folder(spark, "bundles")
     model.save_bundle(fitted, MINI8, "logistic_regression", path, spark)
     loaded, names, name = model.load_bundle(spark, path)
     return rounded(model.score(loaded, last_bars(panel, 6, HOURLY), names, name))
@@ -299,15 +312,23 @@ def evaluation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars from the events read as a stream, those the watermark has closed."""
+    """Bars from the events read as a stream. Each batch writes the bars it changed; the last state of a bar counts,
+    so bars that the watermark has not closed yet are there too."""
     source = table(spark, sf_dir, "events")
     ticks = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     bars = bar_stream(ticks, "event_type", "ts", "value", ("ts", "event_id"), "1 hour")
     root = _fresh_folder(spark, "streams")
-    writer = bars.writeStream.format("parquet").option("path", f"{root}/bars")
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{root}/bars/{number}")
+
+    writer = bars.writeStream.outputMode("update").foreachBatch(store)
     writer = writer.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
     writer.start().awaitTermination()
-    return spark.read.schema(bars.schema).parquet(f"{root}/bars")
+    schema = T.StructType([*bars.schema.fields, T.StructField("batch", T.IntegerType())])
+    written = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/bars")
+    values = [c for c in bars.columns if c not in KEY]
+    return written.groupBy(*KEY).agg(*(F.max_by(c, "batch").alias(c) for c in values))
 
 
 QUERIES: dict[str, Query] = {
@@ -322,7 +343,7 @@ QUERIES: dict[str, Query] = {
     "evaluation_csv": evaluation_csv,
     "dataset_summary": _on_bars(profile.dataset_summary),
     # filters and cleaning
-    "time_range": _on_bars(lambda b: time_range(b, "2024-01-08 00:00:00", "2024-01-15 00:00:00")),
+    "time_range": _on_bars(lambda b: b, _bars_of_a_week),
     "last_n_bars": _on_bars(lambda b: last_bars(b, 50, HOURLY)),
     "null_counts": _on_bars(lambda b: clean.null_counts(_with_gaps(b))),
     "ffill_bfill": _on_bars(lambda b: clean.fill_gaps(_with_gaps(b), HOURLY, PRICES)),
@@ -394,10 +415,10 @@ QUERIES: dict[str, Query] = {
     "features_mini8": _feature_set("mini8"),
     # training sets
     "split_random": _on_bars(lambda b: dataset.split_random(_labelled(b))),
-    "split_time": _on_bars(lambda b: dataset.split_time(_labelled(b))),
+    "split_time": _on_bars(lambda b: dataset.split_time(materialize(_labelled(b))), stored_bars),
     "folds": _on_bars(lambda b: dataset.folds(_labelled(b))),
     "class_weights": _on_bars(lambda b: dataset.class_weights(_labelled(b))),
-    "robust_scaled": _on_bars(_scaled),
+    "robust_scaled": _on_bars(_scaled, stored_bars),
     # evaluation
     "metrics": _on_rules(evaluate.metrics),
     "metrics_long": _on_rules(evaluate.metrics_long),
@@ -424,9 +445,9 @@ QUERIES: dict[str, Query] = {
     "column_summary": _on_bars(lambda b: profile.column_summary(b, "close")),
     "last_close": _on_bars(profile.last_close),
     "volume_median": _on_bars(lambda b: series_quantile(b, "volume", 0.5, 64)),
-    "volume_hist": _on_bars(lambda b: profile.histogram(b, "volume", HOURLY)),
-    "volume_profile": _on_bars(lambda b: profile.volume_profile(b, HOURLY)),
-    "volume_profile_closed": _on_bars(lambda b: profile.volume_profile(b, HOURLY, close_last=True)),
+    "volume_hist": _on_bars(lambda b: profile.histogram(b, "volume", HOURLY), stored_bars),
+    "volume_profile": _on_bars(lambda b: profile.volume_profile(b, HOURLY), stored_bars),
+    "volume_profile_closed": _on_bars(lambda b: profile.volume_profile(b, HOURLY, close_last=True), stored_bars),
     "volume_vs_return": _on_bars(
         lambda b: profile.volume_against_change(
             compute(b, HOURLY, volume.volume_average(), volume.price_volume_correlation(), label.target())
@@ -436,7 +457,7 @@ QUERIES: dict[str, Query] = {
     "corr_upper": _on_bars(lambda b: profile.corr_matrix(_full(b), charts.CORRELATED, upper=True)),
     "target_corr": _on_bars(lambda b: charts.correlation(_full(b))["target"]),
     "class_hist": _on_bars(
-        lambda b: charts.distributions(_stored(_full(b), (*charts.DISTRIBUTED, "target")))["density"]
+        lambda b: charts.distributions(_stored(_full(b), (*charts.DISTRIBUTED, "target")))["density"], stored_bars
     ),
     "class_means": _on_bars(lambda b: charts.distributions(_full(b))["means"]),
     # chart tables not covered above
@@ -447,8 +468,8 @@ QUERIES: dict[str, Query] = {
     "stream_bars": lambda spark, sf_dir: rounded(stream_bars(spark, sf_dir)),
     # models
     "train_forest": _train("random_forest", numTrees=100, maxDepth=15),
-    "train_gbt": _train("gradient_boosting", maxIter=20, maxDepth=4, stepSize=0.1),
-    "train_gbt_subsample": _train("boosted_subsample", maxIter=20, maxDepth=3, stepSize=0.1, subsamplingRate=0.8),
+    "train_gbt": _train("gradient_boosting", maxIter=100, maxDepth=4, stepSize=0.1),
+    "train_gbt_subsample": _train("boosted_subsample", maxIter=100, maxDepth=3, stepSize=0.1, subsamplingRate=0.8),
     "train_logistic": _train("logistic_regression", C=1.0),
     "train_linear_svm": _train("linear_svm", C=1.0),
     "grid_search": grid_search,

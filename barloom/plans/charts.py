@@ -78,14 +78,14 @@ def distributions(panel: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def dimensionality(prepared: DataFrame, n: int = 5000, k: int = 20) -> dict[str, DataFrame]:
-    """Two components of a random subset, and the variance explained over all rows."""
-    subset = model.random_subset(prepared, n)
+def dimensionality(prepared: DataFrame, features: int) -> dict[str, DataFrame]:
+    """The first two components of every row, and the variance explained by all components."""
     part = vector_to_array("components")
-    scores = model.pca(subset, 2).transform(subset)
+    fitted = model.pca(prepared, features)
+    scores = fitted.transform(prepared)
     return {
         "scores": scores.select("symbol", "bar_ts", "target", part[0].alias("pc1"), part[1].alias("pc2")),
-        "variance": model.pca_variance(prepared.sparkSession, model.pca(prepared, k)),
+        "variance": model.pca_variance(prepared.sparkSession, fitted),
     }
 
 

@@ -60,12 +60,11 @@ def train_and_rank(
     divided = materialize(divided)
     train = materialize(dataset.folds(divided.filter(F.col("split") == "train").drop("split"), k))
     test = divided.filter(F.col("split") == "test").drop("split")
-    count = train.count()
     preparation = model.Preparation.fit(train, features)
     models, scored, found = {}, None, []
     for kind, params in (grids or presets or model.PRESETS[name]).items():
         points = model.parameter_points(params) if grids else [dict(params)]
-        done = model.cross_validate(train, preparation, kind, count, points, balanced, k)
+        done = model.cross_validate(train, preparation, kind, points, balanced, k)
         models[kind] = done.model
         found.append((kind, done.f1_mean, done.f1_std, {p: str(v) for p, v in done.params.items()}))
         pred = model.predictions(done.model, test, kind)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +44,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and continue from the files."""
-    folder = checkpoint_dir(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the checkpoint folder once, as Parquet, and continue from the files.
+
+    Columns that a reader does not need are not read again, and filters reach the files. The folder belongs to
+    the caller of the session, who removes it when its results are no longer read.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/materialized/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,15 +23,19 @@ _CSV_SCHEMA = T.StructType(
 def read_bars(
     spark: SparkSession, path: str, symbol: str = "series", fmt: str = "csv", time_format: str = "yyyy.MM.dd HH:mm"
 ) -> DataFrame:
-    """Bars of one instrument from ``;``-separated text, or a panel from Parquet."""
+    """Bars of one instrument from ``;``-separated text, or a panel from Parquet.
+
+    Text has its volume as a double, as fractions occur; Parquet keeps the type it was stored with.
+    """
     if fmt == "parquet":
-        return spark.read.schema(BAR_SCHEMA).parquet(path)
+        stored = spark.read.parquet(path)
+        return stored.select(*(F.col(f.name) if f.name == "volume" else F.col(f.name).cast(f.dataType) for f in BAR_SCHEMA))
     raw = spark.read.schema(_CSV_SCHEMA).option("sep", ";").option("header", True).csv(path)
     return raw.select(
         F.lit(symbol).alias("symbol"),
         F.to_timestamp_ntz("Date", F.lit(time_format)).alias("bar_ts"),
         *(F.col(p.title()).alias(p) for p in PRICES),
-        F.col("Volume").cast("bigint").alias("volume"),
+        F.col("Volume").alias("volume"),
     )
 
 
@@ -45,10 +49,10 @@ def write_bars(bars: DataFrame, path: str, time_format: str = "yyyy.MM.dd HH:mm"
 
 
 def unique_bars(bars: DataFrame) -> DataFrame:
-    """One bar per (symbol, bar_ts); of several, the smallest by all values. Combines map-side."""
+    """One bar per (symbol, bar_ts); of several, the smallest by all values."""
     values = [c for c in bars.columns if c not in ("symbol", "bar_ts")]
-    picked = bars.groupBy("symbol", "bar_ts").agg(F.min(F.struct(*values)).alias("_bar"))
-    return picked.select("symbol", "bar_ts", "_bar.*").select(*bars.columns)
+    same = Window.partitionBy("symbol", "bar_ts").orderBy(*values)
+    return bars.withColumn("_place", F.row_number().over(same)).filter("_place = 1").select(*bars.columns)
 
 
 def time_range(bars: DataFrame, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:

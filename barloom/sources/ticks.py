@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions import since_epoch
+from barloom.functions.scalar import epoch_micros
 
 
 def position_of(df: DataFrame, order: Sequence[str]) -> Column:
@@ -22,8 +22,9 @@ def position_of(df: DataFrame, order: Sequence[str]) -> Column:
     kinds = [df.schema[c].dataType for c in order]
     stamp = isinstance(kinds[0], (T.TimestampNTZType, T.TimestampType))
     if len(order) == 2 and stamp and isinstance(kinds[1], (T.LongType, T.IntegerType)):
-        shifted = since_epoch(order[0]) * F.expr("10000000000000000000BD")
-        return shifted.cast("decimal(38,6)") + F.col(order[1]).cast("decimal(19,0)")
+        # Microseconds times 2**64: any signed 64-bit tie-break stays within its microsecond.
+        shifted = epoch_micros(order[0]).cast("decimal(18,0)") * F.expr("18446744073709551616BD")
+        return shifted.cast("decimal(37,0)") + F.col(order[1]).cast("decimal(19,0)")
     return F.struct(*order)
 
 
@@ -35,15 +36,24 @@ def bars_from_ticks(
     order: Sequence[str],
     every: str,
     volume: Column | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Tumbling bars. ``order`` decides open and close; ``volume`` defaults to the tick count.
 
+    ``start`` and ``end`` keep the bars that begin in [start, end); both must be multiples of ``every``, so
+    that they can be compared with the ticks themselves and reach the file scan.
+
     Everything is combined before the shuffle, so a dominant symbol ships one row per bar and task.
     """
+    kind = ticks.schema[ts].dataType.simpleString()
+    for bound, keep in ((start, F.col(ts).__ge__), (end, F.col(ts).__lt__)):
+        if bound is not None:
+            ticks = ticks.filter(keep(F.lit(bound).cast(kind)))
     position = position_of(ticks, order)
     key = F.col(symbol) if isinstance(symbol, str) else symbol
-    start = F.window(ts, every)["start"]
-    return ticks.groupBy(key.alias("symbol"), start.alias("bar_ts")).agg(
+    begin = F.window(ts, every)["start"]
+    return ticks.groupBy(key.alias("symbol"), begin.alias("bar_ts")).agg(
         F.min_by(price, position).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),

@@ -105,7 +105,7 @@ def test_grid_search_refits_the_best_point(separable):
     train = dataset.folds(separable, 3).cache()
     preparation = model.Preparation.fit(train, MINI8)
     points = model.parameter_points({"C": [1e-6, 1.0]})
-    done = model.cross_validate(train, preparation, "logistic_regression", 300, points, k=3)
+    done = model.cross_validate(train, preparation, "logistic_regression", points, k=3)
     assert done.params == {"C": 1.0}
     assert done.model.stages[-1].getRegParam() == pytest.approx(1 / 300)
 
@@ -126,8 +126,7 @@ def test_importances_and_components(spark, trained, separable):
 def test_learning_curve(separable):
     train = dataset.folds(separable, 3).cache()
     preparation = model.Preparation.fit(train, MINI8)
-    classifier = model.estimator("logistic_regression", 300, C=1.0)
-    got = model.learning_curve(train, preparation, classifier, shares=(0.5, 1.0), k=3).collect()
+    got = model.learning_curve(train, preparation, "logistic_regression", {"C": 1.0}, shares=(0.5, 1.0), k=3).collect()
     assert len(got) == 4 and all(r["folds"] == 3 for r in got)
 
 

@@ -224,7 +224,7 @@ def _sigma() -> str:
 
 
 def _hash(seed: int) -> str:
-    return f"md5(symbol || '|' || CAST(epoch(bar_ts) AS BIGINT) || '|{seed}')"
+    return f"md5(symbol || '|' || epoch_us(bar_ts) || '|{seed}')"
 
 
 _LABELLED = f"""{_FEATURES}, labelled AS (
@@ -412,7 +412,7 @@ ORACLE: dict[str, str] = {
     "bars_1h": _query(BARS_1H, _BARS, "bars"),
     "bars_15m": _query(BARS_15M, _BARS, "bars"),
     "bars_orders_1d": _query(BARS_ORDERS, _BARS, "bars"),
-    "bars_csv": _query(BARS_15M, _BARS, "bars"),
+    "bars_csv": _query(BARS_15M, [*_BARS[:-1], "CAST(volume AS DOUBLE) AS volume"], "bars"),
     "unique_bars": _query(BARS_1H, _BARS, "bars"),
     "stored_panel": _query(
         BARS_1H, [*_BARS, f"row_number() OVER ({_W}) - 1 AS bar_no"], "bars"
@@ -596,6 +596,7 @@ ORACLE: dict[str, str] = {
     "equity": _query(
         _BACKTEST,
         ["symbol", "bar_ts", "close", "CAST(position AS DOUBLE) AS position", "strategy_return",
+         "CAST(sign(cumulative_return) AS DOUBLE) AS sign_strategy",
          f"{_log('cumulative_return')} AS log_strategy", f"{_log('buy_hold_return')} AS log_buy_hold",
          f"{_log('running_max')} AS log_running_max", f"{_DRAWDOWN} AS drawdown"],
         "curve",
@@ -664,9 +665,5 @@ ORACLE: dict[str, str] = {
         ["symbol", "bar_ts", "close", "resistance_level", "support_level", "signal"],
         "recent LEFT JOIN raised USING (symbol, bar_ts)",
     ),
-    # Every event-time window that ended before the last event minus ten minutes is closed.
-    "stream_bars": _query(
-        BARS_1H, _BARS,
-        "bars WHERE bar_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
-    ),
+    "stream_bars": _query(BARS_1H, _BARS, "bars"),
 }
