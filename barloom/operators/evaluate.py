@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from barloom.functions import ratio, trailing
 from barloom.operators.panel import block_window
 from barloom.operators.profile import class_histogram
+from barloom.operators.quantiles import with_piece
 from barloom.operators.scan import Running, prefix_scan
 from barloom.operators.step import Step
 
-_SCORE_PIECES = 65_536
 
 
 def _counts(pred: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
@@ -108,17 +108,16 @@ def class_report(pred: DataFrame) -> DataFrame:
 def score_curve(pred: DataFrame) -> DataFrame:
     """Per model and distinct score: rows at the score, and rows at or above it, by class.
 
-    Equal scores are merged before anything is ordered. The order runs over score ranges, so a model
-    with very many scores is not one task. Scores must lie in [0, 1].
+    Equal scores are merged before anything is ordered. The order runs over pieces of like size, so a model
+    with very many scores is not one task, however they crowd.
     """
     positive = F.col("label") == 1
     merged = pred.groupBy("model", F.col("probability").alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    piece = F.floor(F.col("score") * _SCORE_PIECES).cast("int")
     running = {"tp": Running("sum", F.col("positives")), "fp": Running("sum", F.col("negatives"))}
     return prefix_scan(
-        merged.filter(F.col("score").isNotNull()).withColumn("_piece", piece),
+        with_piece(merged.filter(F.col("score").isNotNull()), ("model",), "score"),
         ("model",), "_piece", "score", running, ascending=False, totals=True,
     ).drop("_piece")
 

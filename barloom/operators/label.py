@@ -27,6 +27,11 @@ def target(lookahead: int = 6, threshold: float = 0.001, drop_unlabelled: bool =
     return Step(stages, ahead=lookahead)
 
 
+def label_time(lookahead: int = 6) -> Step:
+    """``label_ts``: when the label of a bar becomes known; null for the last bars of a series."""
+    return Step(lambda framed: [{"label_ts": F.lead("bar_ts", lookahead).over(block_window(framed))}], ahead=lookahead)
+
+
 def labelled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("target").isNotNull())
 

@@ -97,7 +97,10 @@ def class_histogram(df: DataFrame, columns: Sequence[str], group: str = "target"
 
 
 def class_means(df: DataFrame, columns: Sequence[str], group: str = "target") -> DataFrame:
-    return long_form(df, columns, group).groupBy("feature", group).agg(F.avg("value").alias("mean"))
+    """Mean of each column per class: one wide aggregation, unpivoted afterwards."""
+    wide = df.groupBy(group).agg(*(F.avg(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)))
+    entries = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"_{i}").alias("mean")) for i, c in enumerate(columns)))
+    return wide.select(group, F.inline(entries)).filter(F.col("mean").isNotNull()).select("feature", group, "mean")
 
 
 def volume_profile(bars: DataFrame, layout: Layout, edges: int = 50, close_last: bool = False) -> DataFrame:
@@ -140,12 +143,38 @@ def volume_against_change(df: DataFrame) -> DataFrame:
     )
 
 
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(feature_a, feature_b, corr): one row of aggregates over all pairs, unpivoted afterwards."""
+    aggregates = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        # Merging partial moments of a constant leaves rounding dust, hence the test for variation.
+        ends = [how(F.when(both, v)) for v in (x, y) for how in (F.min, F.max)]
+        varies = (ends[0] < ends[1]) & (ends[2] < ends[3])
+        corr = F.lit(1.0) if a == b else F.corr(x, y)
+        aggregates.append(F.when(varies, corr).alias(f"_{i}"))
+        aggregates.append(F.count_if(both).alias(f"_n{i}"))
+    wide = df.agg(*aggregates)
+    entries = F.array(
+        *(
+            F.struct(
+                F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                F.col(f"_{i}").alias("corr"), F.col(f"_n{i}").alias("_n"),
+            )
+            for i, (a, b) in enumerate(pairs)
+        )
+    )
+    return wide.select(F.inline(entries)).filter("_n > 0").drop("_n")
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str], upper: bool = False) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows that have both.
 
-    The pairs are pairs of columns, a fixed number per row, and are combined before the shuffle.
+    The pairs are pairs of columns, a fixed number per row, and are combined before the shuffle. One wide aggregate
+    over all pairs was measured to be slower: its code is too large to be compiled.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + upper :]]
     entries = F.array(
         *(
             F.struct(
@@ -163,16 +192,16 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], upper: bool = False) -> D
     corr = ratio(F.covar_samp("_a", "_b"), F.stddev_samp("_a") * F.stddev_samp("_b"))
     half = long.groupBy("feature_a", "feature_b").agg(F.when(varies, corr).alias("corr"))
     if upper:
-        return half.filter(F.col("feature_a") != F.col("feature_b"))
+        return half
     mirrored = F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"))
     both = F.array_distinct(F.array(F.struct("feature_a", "feature_b"), mirrored))
     return half.select(F.inline(both), "corr").select("feature_a", "feature_b", "corr")
 
 
-def target_corr(matrix: DataFrame, target: str = "target") -> DataFrame:
+def target_corr(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:
     """Correlation of each feature with the label, weakest first."""
-    ranked = matrix.filter((F.col("feature_b") == target) & (F.col("feature_a") != target))
-    return ranked.select(F.col("feature_a").alias("feature"), "corr").orderBy(F.abs("corr"), "feature")
+    found = _pair_correlations(df, [(c, target) for c in columns if c != target])
+    return found.select(F.col("feature_a").alias("feature"), "corr").orderBy(F.abs("corr"), "feature")
 
 
 def quantile_bins(df: DataFrame, columns: Sequence[str], bins: int = 5) -> dict[str, list[float]]:

@@ -17,6 +17,7 @@ from barloom.operators.panel import SYMBOL
 from barloom.operators.scan import Running, prefix_scan
 
 _INF = float("inf")
+PIECES = 128  # parts into which the values of a key are cut for ranking
 
 
 def _within(c: str, bracket: tuple[float, float]) -> Column:
@@ -101,11 +102,20 @@ def exact_quantiles(
     return result
 
 
-def series_quantile(df: DataFrame, value: str, prob: float, width: float) -> DataFrame:
+def with_piece(df: DataFrame, keys: Sequence[str], value: str, pieces: int = PIECES) -> DataFrame:
+    """Add ``_piece``, a number that grows with ``value`` and cuts the rows of each key into parts of like size,
+    however the values crowd. The edges are approximate quantiles, so a piece holds 1 / ``pieces`` of the rows of its key."""
+    probs = F.array(*(F.lit(i / pieces) for i in range(1, pieces)))
+    edges = df.groupBy(*keys).agg(F.percentile_approx(value, probs, 10 * pieces).alias("_edges"))
+    below = F.size(F.filter("_edges", lambda e: e < F.col(value)))
+    return df.join(edges, list(keys)).withColumn("_piece", below).drop("_edges")
+
+
+def series_quantile(df: DataFrame, value: str, prob: float) -> DataFrame:
     """Exact quantile per symbol, as rows. Equal values are merged first; the values of a symbol are
-    ranked piece by piece, a piece being a value range of ``width``."""
+    ranked piece by piece."""
     merged = df.filter(F.col(value).isNotNull()).groupBy(SYMBOL, value).agg(F.count("*").alias("_count"))
-    merged = merged.withColumn("_piece", F.floor(F.col(value) / width))
+    merged = with_piece(merged, (SYMBOL,), value)
     ranked = prefix_scan(merged, (SYMBOL,), "_piece", value, {"_upto": Running("sum", F.col("_count"))}, totals=True)
     place = (F.col("_upto_total") - 1) * prob
     low, high = F.floor(place), F.ceil(place)

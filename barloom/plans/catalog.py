@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators import (
-    backtest,
     clean,
     dataset,
     evaluate,
@@ -176,7 +175,7 @@ def _with_gaps(bars: DataFrame) -> DataFrame:
 
 def _equity(pred: DataFrame, bars: DataFrame) -> DataFrame:
     """The event values jump so much that growth is shown as its sign and logarithm."""
-    curve = backtest.equity(pred, bars, HOURLY)
+    curve = charts.backtest_tables(pred, bars, HOURLY)["curve"]
     return curve.select(
         *KEY, "close", F.col("position").cast("double").alias("position"), "strategy_return",
         F.col("sign").cast("double").alias("sign_strategy"),
@@ -187,7 +186,7 @@ def _equity(pred: DataFrame, bars: DataFrame) -> DataFrame:
 
 
 def _backtest_summary(pred: DataFrame, bars: DataFrame) -> DataFrame:
-    total = backtest.summary(backtest.equity(pred, bars, HOURLY))
+    total = charts.backtest_tables(pred, bars, HOURLY)["summary"]
     return total.select(
         "symbol", F.when(F.col("sign") > 0, F.col("log_return")).alias("log_strategy"),
         F.when(F.col("hold_sign") > 0, F.col("log_hold")).alias("log_buy_hold"), "sharpe", "max_drawdown",
@@ -214,6 +213,12 @@ def _scaled(bars: DataFrame) -> DataFrame:
     return scaler.transform(divided)
 
 
+def _embargo(bars: DataFrame) -> DataFrame:
+    """Split by time; training rows whose label reaches into the test period are set apart."""
+    rows = materialize(compute(bars, HOURLY, label.target(), label.label_time()).select(*KEY, "target", "label_ts"))
+    return dataset.split_time(rows, label_ts="label_ts")
+
+
 def _known_labels(bars: DataFrame) -> DataFrame:
     return compute(bars, HOURLY, label.target(drop_unlabelled=True)).select(*KEY, "target")
 
@@ -415,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "features_mini8": _feature_set("mini8"),
     # training sets
     "split_random": _on_bars(lambda b: dataset.split_random(_labelled(b))),
+    "split_embargo": _on_bars(_embargo, stored_bars),
     "split_time": _on_bars(lambda b: dataset.split_time(materialize(_labelled(b))), stored_bars),
     "folds": _on_bars(lambda b: dataset.folds(_labelled(b))),
     "class_weights": _on_bars(lambda b: dataset.class_weights(_labelled(b))),
@@ -425,11 +431,11 @@ QUERIES: dict[str, Query] = {
     "confusion": _on_rules(evaluate.confusion),
     "class_report": _on_rules(evaluate.class_report),
     "outcomes": _on_rules(evaluate.outcomes),
-    "roc": _on_rules(lambda p: evaluate.roc(evaluate.score_curve(p))),
-    "auc": _on_rules(lambda p: evaluate.auc(evaluate.score_curve(p))),
-    "pr_curve": _on_rules(lambda p: evaluate.precision_recall(evaluate.score_curve(p))),
-    "avg_precision": _on_rules(lambda p: evaluate.average_precision(evaluate.score_curve(p))),
-    "calibration": _on_rules(evaluate.calibration),
+    "roc": _on_rules(lambda p: charts.model_comparison(p)["roc"]),
+    "auc": _on_rules(lambda p: charts.model_comparison(p)["auc"]),
+    "pr_curve": _on_rules(lambda p: charts.model_comparison(p)["precision_recall"]),
+    "avg_precision": _on_rules(lambda p: charts.model_comparison(p)["average_precision"]),
+    "calibration": _on_rules(lambda p: charts.model_comparison(p)["calibration"]),
     "confidence_bins": _on_rules(evaluate.confidence_bins),
     "confidence_hist": _on_rules(evaluate.confidence_histogram, ("rsi",)),
     "rank_models": _on_rules(_rank_rules),
@@ -439,12 +445,12 @@ QUERIES: dict[str, Query] = {
     "error_by_quintile": _with_bars(_error_by_quintile),
     # backtest
     "equity": _with_bars(_equity),
-    "rolling_sharpe": _with_bars(lambda p, b: backtest.equity(p, b, HOURLY).select(*KEY, "rolling_sharpe")),
+    "rolling_sharpe": _with_bars(lambda p, b: charts.backtest_tables(p, b, HOURLY)["curve"].select(*KEY, "rolling_sharpe")),
     "backtest_summary": _with_bars(_backtest_summary),
     # profiles
     "column_summary": _on_bars(lambda b: profile.column_summary(b, "close")),
     "last_close": _on_bars(profile.last_close),
-    "volume_median": _on_bars(lambda b: series_quantile(b, "volume", 0.5, 64)),
+    "volume_median": _on_bars(lambda b: series_quantile(b, "volume", 0.5)),
     "volume_hist": _on_bars(lambda b: profile.histogram(b, "volume", HOURLY), stored_bars),
     "volume_profile": _on_bars(lambda b: profile.volume_profile(b, HOURLY), stored_bars),
     "volume_profile_closed": _on_bars(lambda b: profile.volume_profile(b, HOURLY, close_last=True), stored_bars),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from barloom.operators import backtest, evaluate, model, profile
 from barloom.operators.panel import last_bars
-from barloom.operators.quantiles import series_quantile
 from barloom.operators.step import compute
 from barloom.schema import FIB_INNER, FIB_NAMES, Layout
 
@@ -51,24 +50,8 @@ def market_structure(panel: DataFrame, layout: Layout, n: int = 300) -> DataFram
     )
 
 
-def volume_tables(panel: DataFrame, layout: Layout) -> dict[str, DataFrame]:
-    return {
-        "distribution": profile.histogram(panel, "volume", layout),
-        "centre": panel.groupBy("symbol")
-        .agg(F.avg("volume").alias("mean"))
-        .join(series_quantile(panel, "volume", 0.5, 64), "symbol"),
-        "against_change": profile.volume_against_change(panel),
-        "on_balance": panel.select("symbol", "bar_ts", "obv", "obv_ma", "close"),
-        "correlation": panel.select("symbol", "bar_ts", "volume_price_corr"),
-        "vwap": panel.select("symbol", "bar_ts", "close", "vwap"),
-        "profile": profile.volume_profile(panel, layout),
-        "current": profile.last_close(panel),
-    }
-
-
 def correlation(panel: DataFrame) -> dict[str, DataFrame]:
-    matrix = profile.corr_matrix(panel, CORRELATED)
-    return {"matrix": matrix, "target": profile.target_corr(matrix)}
+    return {"matrix": profile.corr_matrix(panel, CORRELATED), "target": profile.target_corr(panel, CORRELATED)}
 
 
 def distributions(panel: DataFrame) -> dict[str, DataFrame]:

@@ -41,6 +41,7 @@ class Layout:
         return self.every * self.chunk_rows
 
 
+# Published ratios, window lengths, feature lists and the columns that are no features.
 FIB_RATIOS = (0.0, 0.236, 0.382, 0.5, 0.618, 0.786, 1.0)
 FIB_NAMES = tuple(f"fib_{round(r * 1000)}" for r in FIB_RATIOS)
 FIB_INNER = FIB_NAMES[1:-1]

@@ -38,7 +38,7 @@ def test_quantiles_of_nothing(spark):
 
 def test_median_per_symbol(spark):
     both = pd.concat([walk(101, 1, "A"), walk(60, 2, "B")])
-    got = {r["symbol"]: r["volume_quantile"] for r in series_quantile(to_spark(spark, both), "volume", 0.5, 16).collect()}
+    got = {r["symbol"]: r["volume_quantile"] for r in series_quantile(to_spark(spark, both), "volume", 0.5).collect()}
     assert got == both.groupby("symbol").volume.median().to_dict()
 
 

@@ -154,7 +154,7 @@ feat AS (
 
 # Integers and texts among the result columns; everything else is a double and is rounded.
 _EXACT = {
-    "symbol", "bar_ts", "bar_no", "volume", "target", "split", "fold", "rows", "bin", "label", "prediction", "model",
+    "symbol", "bar_ts", "label_ts", "bar_no", "volume", "target", "split", "fold", "rows", "bin", "label", "prediction", "model",
     "class", "support", "hour", "first_ts", "last_ts", "feature", "feature_a", "feature_b", "metric", "place",
     "best", "outcome", "correct", "error", "candle", "histogram_side", "signal", "higher_highs",
     "swing_high", "swing_low", "higher_high", "lower_low", "higher_low", "lower_high", "bos_bullish",
@@ -480,6 +480,14 @@ ORACLE: dict[str, str] = {
     "features_core35": _feature_set("core35", "low"),
     "features_mini8": _feature_set("mini8", "low"),
     "split_random": _query(_LABELLED, ["symbol", "bar_ts", "close", "target", _SPLIT], "labelled"),
+    "split_embargo": _query(
+        _FEATURES + ", later AS (SELECT *, lead(bar_ts, 6) OVER (PARTITION BY symbol ORDER BY bar_ts) AS label_ts FROM s4)",
+        ["symbol", "bar_ts", "target", "label_ts",
+         "CASE WHEN epoch_us(bar_ts) > (SELECT quantile_cont(CAST(epoch_us(bar_ts) AS DOUBLE), 0.8) FROM s4) "
+         "THEN 'test' WHEN epoch_us(label_ts) > (SELECT quantile_cont(CAST(epoch_us(bar_ts) AS DOUBLE), 0.8) FROM s4) "
+         "THEN 'embargo' ELSE 'train' END AS split"],
+        "later",
+    ),
     "split_time": _query(
         _FEATURES,
         [
