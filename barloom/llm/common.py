@@ -63,14 +63,18 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
 
 
-#: Up to so many ids a list of documents is broadcast; a longer one is joined.
+#: Up to so many narrow rows a list of documents is broadcast; a longer one is joined.
 BROADCAST_IDS = 1_000_000
 
 
+def short(rows: DataFrame) -> DataFrame:
+    """A written table to join with: broadcast when it is counted to be short, whatever Spark's estimate of it."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
 def listed(ids: DataFrame) -> DataFrame:
-    """A list of ids to join with: broadcast when it is counted to be short."""
-    ids = cut(ids)
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    """A list of ids to join with, written first."""
+    return short(cut(ids))
 
 
 def without(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:

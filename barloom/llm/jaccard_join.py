@@ -27,7 +27,7 @@ Repeated rows of an id share the component, and the component's name is its leas
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,11 +36,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import PIECE_BYTES, cut, listed, pieces, spread, utf8_of, without
+from barloom.llm.common import PIECE_BYTES, cut, listed, pieces, short, spread, utf8_of, without
 from barloom.llm.suffix_dedup import _base, _mixed, _powers
 
-CELLS = 1 << 22
-SEGMENTS = 64
+#: Cells of the counting sketch: 2 ** CELL_BITS.
+CELL_BITS = 24
+CELLS = 1 << CELL_BITS
+SEGMENTS = 256
 GROUP = 64
 #: Documents that ask a group in one task.
 ASKERS = 256
@@ -125,7 +127,7 @@ def _sketch(source: DataFrame, n: int) -> np.ndarray:
         for batch in batches:
             held = []
             for _, own in _sets(batch, 1, n):
-                held.append((own >> np.uint64(42)).astype(np.int64))
+                held.append((own >> np.uint64(64 - CELL_BITS)).astype(np.int64))
                 if len(held) > 500:
                     cells += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
                     held = []
@@ -160,7 +162,7 @@ def _described(source: DataFrame, priority: np.ndarray, n: int, percent: int) ->
         for batch in batches:
             size, sign, common, prefix = [], [], [], []
             for _, own in _sets(batch, 1, n):
-                rank = table[(own >> np.uint64(42)).astype(np.int64)]
+                rank = table[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 size.append(len(own))
                 sign.append(_signature(own))
                 common.append(float(rank.mean()) if len(own) else 0.0)
@@ -176,7 +178,7 @@ def _described(source: DataFrame, priority: np.ndarray, n: int, percent: int) ->
 
 
 def _postings(described: DataFrame) -> DataFrame:
-    """(token, id): prefix shingles that at least two documents have."""
+    """(token, id): prefix shingles that at least two rows have."""
     buckets = spread(described, "bucket")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +240,7 @@ def _postings(described: DataFrame) -> DataFrame:
             yield from merge()
 
     sent = described.select("id", "prefix").mapInArrow(send, "bucket int, tokens binary, ids binary")
-    return sent.repartition(buckets, "bucket").mapInArrow(meet, "token long, id long").distinct()
+    return sent.repartition(buckets, "bucket").mapInArrow(meet, "token long, id long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -258,7 +260,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def _links(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(asked: DataFrame, members: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """(a, b): links between documents that ask groups and members of the groups; both are (group, id, component).
 
     The documents that ask a group are split into parts of about ``ASKERS``; each part has the group's members.
@@ -269,7 +271,8 @@ def _links(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
     one = asked.join(parts, "group").select("group", part, "id", "component", F.lit(False).alias("member"))
     part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     two = members.join(parts, "group").select("group", part, "id", "component", F.lit(True).alias("member"))
-    rows = sets.join(listed(one.unionByName(two)), "id")
+    wanted = cut(one.unionByName(two))
+    rows = sets(wanted.select("id")).join(short(wanted), "id")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         inside = rows[rows["member"]]
@@ -307,21 +310,21 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     sizes = full.groupBy("id").agg(F.max("size").alias("size"), F.max("common").alias("common"))
     sizes = cut(sizes.join(postings.select("id").distinct(), "id"))
 
-    # Sets of the documents that share a prefix shingle.
-    wanted = listed(sizes.select("id"))
+    def sets(ids: DataFrame) -> DataFrame:
+        """(id, shingles) of some documents. They are made anew for each use: that costs a pass, but no disk."""
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [(i, x.tobytes()) for i, x in _sets(batch, 1, n)]
-            for a in range(0, len(own), 500):
-                part = own[a : a + 500]
-                ids = batch.column(0).take(pa.array([i for i, _ in part], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([x for _, x in part], pa.binary())], names=["id", "shingles"])
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = [(i, x.tobytes()) for i, x in _sets(batch, 1, n)]
+                for a in range(0, len(own), 500):
+                    part = own[a : a + 500]
+                    names = batch.column(0).take(pa.array([i for i, _ in part], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([names, pa.array([x for _, x in part], pa.binary())], names=["id", "shingles"])
 
-    sets = cut(source.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, shingles binary"))
+        return source.join(listed(ids.distinct()), "id", "left_semi").mapInArrow(whole, "id long, shingles binary")
 
     # Hubs: per token, then the best one per document.
-    placed = cut(postings.join(sizes, "id"))
+    placed = cut(postings.join(short(sizes), "id"))
     rank = F.struct("common", (-F.col("id")).alias("back"), "size")
     hubs = placed.groupBy("token").agg(F.max(rank).alias("hub"))
     near = placed.join(hubs, "token").where("id != -hub.back").where(
@@ -351,7 +354,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     )
 
     # The token-group matrix. Tokens held by the same groups are one column of it.
-    cells = postings.join(grouped.select("id", "component", "group"), "id")
+    cells = postings.join(short(grouped.select("id", "component", "group")), "id")
     cells = cells.groupBy("token", "group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mark = lambda seed: F.sum(F.xxhash64("group", F.lit(seed)).cast("decimal(20,0)"))
     held = cells.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("groups"), mark(1).alias("m1"), mark(2).alias("m2"))
@@ -360,7 +363,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     columns = cut(held.join(column, ["groups", "m1", "m2"]).select("token", "column"))
     matrix = cells.withColumnRenamed("token", "column").join(columns.select("column").distinct(), "column", "left_semi")
     matrix = matrix.select("column", "group")
-    asking = postings.join(columns, "token").select("column", "id").distinct().join(grouped, "id")
+    asking = postings.join(columns, "token").select("column", "id").distinct().join(short(grouped), "id")
     asked = (
         asking.withColumnRenamed("group", "own_group")
         .join(matrix.join(bounds, "group"), "column")
