@@ -324,7 +324,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
         return source.join(listed(ids.distinct()), "id", "left_semi").mapInArrow(whole, "id long, shingles binary")
 
     # Hubs: per token, then the best one per document.
-    placed = cut(postings.join(short(sizes), "id"))
+    placed = postings.join(short(sizes), "id")
     rank = F.struct("common", (-F.col("id")).alias("back"), "size")
     hubs = placed.groupBy("token").agg(F.max(rank).alias("hub"))
     near = placed.join(hubs, "token").where("id != -hub.back").where(
