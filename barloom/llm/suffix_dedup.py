@@ -18,7 +18,8 @@ proposes, and 96 bits where they decide.
 
 Texts are packed into blocks of about ``BLOCK`` bytes. A block sends each of its suffix keys once, however often it holds it, so a string in a
 third of all rows is one key per block. Answers come back as bits in the order in which the block sent its keys. Blocks are written to the
-checkpoint folder once, dealt by their id, so that joining the answers does not move texts again.
+checkpoint folder once, dealt by their id, so that joining the answers does not move texts again. A block's id is its place (partition
+and number) among rows in a fixed order, so a map task that runs again sends the same blocks to the same receivers.
 
 A null text is empty; texts shorter than ``length`` have no starts and keep all bytes; a text that repeats is removed
 everywhere; long texts are cut into overlapping windows while they are hashed; rows that repeat an id each get their
@@ -28,13 +29,14 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -226,19 +228,24 @@ def _answers(sent: DataFrame, kind: str) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(block, ids, lengths, payload): texts packed and compressed, under a random id."""
-    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    """(block, ids, lengths, payload): texts packed and compressed, under an id that is the same when a task runs again.
+
+    Behind a shuffle the rows of a partition may come in another order each time, so they are sorted before they are packed.
+    """
+    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
+        partition, number = TaskContext.get().partitionId(), count()
         for batch in batches:
             data, ends = utf8_of(batch.column(1))
             lengths = np.diff(ends)
             for a, b in pieces(lengths.tolist(), BLOCK):
                 payload = press.compress(data[ends[a] : ends[b]].tobytes())
                 ids = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column(0).slice(a, b - a))
+                block = partition.to_bytes(8, "big") + next(number).to_bytes(8, "big")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([os.urandom(16)]), ids, pa.array([lengths[a:b]], pa.list_(pa.int64())), pa.array([payload], pa.binary())],
+                    [pa.array([block], pa.binary()), ids, pa.array([lengths[a:b]], pa.list_(pa.int64())), pa.array([payload], pa.binary())],
                     names=["block", "ids", "lengths", "payload"],
                 )
 

@@ -152,3 +152,15 @@ def test_repeated_strings_of_odd_rows(odd, empty):
     want = [(i, *r) for (i, _), r in zip(ODD, brute_repeats([(t or "").encode() for _, t in ODD]), strict=True)]
     assert got == sorted(want, key=str)
     assert suffix_dedup.repeated_strings(empty).count() == 0
+
+
+def test_blocks_repeat_when_a_task_runs_again(frame, monkeypatch):
+    """A rerun, also one that gets its rows in another order, makes the same blocks under the same ids."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
+    monkeypatch.setattr(suffix_dedup, "cut", lambda df: df)
+    rows = [(i // 2 if i % 9 else None, f"text {i % 7} " * (9 * (i % 5))) for i in range(60)] + [(3, "x" * 1000), (3, None)]
+    made = lambda own: sorted(map(str, suffix_dedup._blocks(frame(own).coalesce(1), "doc_id", "text").collect()))
+    first = made(rows)
+    assert len(first) > 5 and first == made(rows) == made(rows[::-1])
+    several = suffix_dedup._blocks(frame(rows).repartition(4), "doc_id", "text").collect()
+    assert len({bytes(r.block) for r in several}) == len(several) and sum(len(r.ids) for r in several) == len(rows)
