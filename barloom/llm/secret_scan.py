@@ -2,9 +2,9 @@
 
 Three base patterns (assignments, access keys, long hexadecimal runs) give spans that always stay. A fourth, wider one gives
 candidates: runs of 20 or more key characters that hold digits, upper and lower case. Every value is hashed, and the
-hashes are counted over the whole corpus by distinct repositories and distinct owners. A value that many owners hold is a
-copied example; one that few owners hold is a live-looking credential, and such candidates become spans of kind
-``live``. Counting combines on the map side, first by (value, owner, repository), so a value in a third of all rows is one
+hashes are counted over the whole corpus by distinct repositories and distinct owners. A value that many owners hold, or that
+stands in many repositories, is a copied example; one with few of both is a live-looking credential, and such candidates become
+spans of kind ``live``. Counting combines on the map side, first by (value, owner, repository), so a value in a third of all rows is one
 row per task.
 
 Spark's functions give matches but not their places; a place is the sum of the lengths of the pieces between
@@ -63,13 +63,13 @@ def _if(found: Column, spans: Column) -> Column:
     )
 
 
-def _shown(spans: Column) -> Column:
-    """kind:start:end by start and kind, comma-joined."""
+def _shown(spans: Column, *more: str) -> Column:
+    """kind:start:end, and what else is asked for, by start and kind, comma-joined."""
     return F.concat_ws(
         ",",
         F.transform(
             F.array_sort(spans),
-            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            lambda s: F.concat_ws(":", s["kind"], *(s[n].cast("string") for n in ("start", "end", *more))),
         ),
     )
 
@@ -79,13 +79,15 @@ def scan_secrets(
     owner: Column,
     repository: Column,
     most_owners: int = 2,
+    most_repositories: int = 3,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) of each row.
+    """(id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, held) of each row.
 
-    ``n_live`` counts candidates that at most ``most_owners`` owners hold, ``n_copied`` base spans whose value more
-    owners hold.
+    ``n_live`` counts candidates that at most ``most_owners`` owners hold in at most ``most_repositories`` repositories,
+    ``n_copied`` base spans whose value goes beyond either. ``held`` has kind:start:end:owners:repositories of every base span
+    and candidate; candidates that are not live are of kind ``example``.
     """
     source = docs.select(
         F.col(id_column).alias("id"),
@@ -121,21 +123,23 @@ def scan_secrets(
         .groupBy("hash")
         .agg(F.count_distinct("owner").alias("owners"), F.count(F.lit(1)).alias("repositories"))
     )
+    few = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+    kind = F.when(F.col("copied") & (F.col("span.kind") == "live"), "example").otherwise(F.col("span.kind"))
     judged = (
         values.select("id", "key", "span", "hash")
         .distinct()
         .join(frequency, "hash")
-        .withColumn("live", (F.col("span.kind") == "live") & (F.col("owners") <= most_owners))
-        .withColumn("copied", (F.col("span.kind") != "live") & (F.col("owners") > most_owners))
-        .where("live OR copied")
+        .withColumn("live", (F.col("span.kind") == "live") & few)
+        .withColumn("copied", ~few)
         .groupBy("id", "key")
         .agg(
             F.collect_list(F.when(F.col("live"), F.col("span"))).alias("added"),
             F.count_if("live").alias("n_live"),
-            F.count_if("copied").alias("n_copied"),
+            F.count_if(F.col("copied") & (F.col("span.kind") != "live")).alias("n_copied"),
+            F.collect_list(F.struct("span.start", "span.rank", kind.alias("kind"), "span.end", "owners", "repositories")).alias("held"),
         )
     )
-    # Most documents have no such span, so the join's right side is small; ids that are null must meet too.
+    # Most documents have no span, so the join's right side is small; ids that are null must meet too.
     joined = found.alias("f").join(
         judged.alias("j"), (F.col("f.key") == F.col("j.key")) & F.col("f.id").eqNullSafe(F.col("j.id")), "left"
     )
@@ -149,4 +153,5 @@ def scan_secrets(
         _shown(every).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
+        F.coalesce(_shown(F.col("held"), "owners", "repositories"), F.lit("")).alias("held"),
     )

@@ -135,6 +135,17 @@ def test_secrets(frame, odd, empty):
     assert scan(odd).count() == len(ODD) and scan(empty).count() == 0
 
 
+def test_secrets_of_one_owner_in_many_repositories(spark, frame):
+    value, rare = "sk_Live0000AAAAbbbb1111", "sk_Live2222CCCCdddd3333"
+    rows = [(k, f"x {value}") for k in range(5)] + [(9, f"x {rare} token=abcdefgh1")]
+    docs = frame(rows).withColumn("owner", F.lit("one")).withColumn("repo", F.concat(F.lit("r"), F.col("doc_id")))
+    got = {r.doc_id: r for r in secret_scan.scan_secrets(docs, F.col("owner"), F.col("repo")).collect()}
+    assert all(got[k].n_live == 0 and got[k].spans == "" and got[k].held == "example:2:25:1:5" for k in range(5))
+    assert got[9].n_live == 1 and got[9].held == "live:2:25:1:1,assign:26:41:1:1"
+    named = {r.doc_id: r for r in secret_scan.scan_secrets(docs, F.col("repo"), F.col("owner")).collect()}
+    assert named[0].n_live == 0 and named[0].held == "example:2:25:5:5"
+
+
 PAGES = [
     (1, "HTTP://Sub.Example.NET/en/x?q#f", "sub.example.net", "/en/x", "example.net/en/", "allow"),
     (2, "https://other.net/a", "other.net", "/a", "net/", "block"),
