@@ -36,6 +36,8 @@ NORMAL = bytes(
 )
 _REPORT = "n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>, key binary"
 
+_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(NORMAL).split()
@@ -301,31 +303,53 @@ def without_spans(
     """(id, text): texts of ``docs`` without their hit spans of at least ``least`` words, from first to last letter."""
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    out = source
+    marks = "array<struct<first:long,last:long>>"
+    out = source.withColumn("spans", F.array().cast(marks))
+    # Every shard judges the text as it came in; the spans of all are cut in one go.
     for automaton in _automata(items, window, "item_id", "text"):
         shared = docs.sparkSession.sparkContext.broadcast(automaton)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                kept = [x and _removed(x.encode("utf-8"), shared.value, least) for x in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["id", "text"])
+                rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+                spans = [_hit_spans(text, known, shared.value) for text, known in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(spans, _SPANS)], names=["id", "text", "spans"]
+                )
+
+        out = out.mapInArrow(run, f"id {kind}, text string, spans {marks}")
+
+    def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            kept = [_removed(text, spans, least) for text, spans in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["id", "text"])
 
-        out = out.mapInArrow(run, f"id {kind}, text string")
+    out = out.mapInArrow(removed, f"id {kind}, text string")
     return out.select(F.col("id").alias(id_column), F.col("text").alias(text_column))
 
 
-def _removed(text: bytes, automaton: Automaton, least: int) -> str:
-    normal = text.translate(NORMAL)
-    hit, _ = automaton.match(normal.split())
+def _hit_spans(text: str | None, known: list[dict], automaton: Automaton) -> list[dict]:
+    """``known`` spans of hit words, with those that one more shard hits."""
+    hit, _ = automaton.match(words_of((text or "").encode("utf-8")))
     if hit is None:
-        return text.decode("utf-8")
-    inside = np.frombuffer(normal, np.uint8) != 0x20
+        return known
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
+    own = zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True)
+    merged = _merge([*((s["first"], s["last"]) for s in known), *own])
+    return [{"first": a, "last": b} for a, b in merged]
+
+
+def _removed(text: str | None, spans: list[dict], least: int) -> str | None:
+    if not spans:
+        return text
+    whole = text.encode("utf-8")
+    inside = np.frombuffer(whole.translate(NORMAL), np.uint8) != 0x20
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
     starts, stops = edge[::2], edge[1::2]
     out, at = [], 0
-    runs = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
-    for a, b in zip(runs[::2].tolist(), runs[1::2].tolist(), strict=True):
-        if b - a >= least:
-            out.append(text[at : starts[a]])
-            at = int(stops[b - 1])
-    return b"".join([*out, text[at:]]).decode("utf-8")
+    for s in spans:
+        if s["last"] - s["first"] + 1 >= least:
+            out.append(whole[at : starts[s["first"]]])
+            at = int(stops[s["last"]])
+    return b"".join([*out, whole[at:]]).decode("utf-8")

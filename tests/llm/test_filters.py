@@ -68,6 +68,15 @@ def test_spans_are_cut_out(spark, frame):
     assert got == {1: "Start: ! end", 2: None, 3: "alpha beta"}
 
 
+@pytest.mark.parametrize("shard", [100_000, 3])
+def test_spans_of_several_shards_are_cut_from_the_whole_text(spark, frame, monkeypatch, shard):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", shard)
+    items = spark.createDataFrame([(1, "b c d"), (2, "d e f"), (3, "x y z")], "item_id long, text string")
+    docs = frame([(1, "a b c d e f g"), (2, "x b c d y z"), (3, None), (4, ""), (5, "d e f"), (6, "A, x y z! b c d")])
+    got = {r.doc_id: r.text for r in decontaminate.without_spans(docs, items, window=3).collect()}
+    assert got == {1: "a  g", 2: "x  y z", 3: None, 4: "", 5: "", 6: "A, "}
+
+
 def test_quality_ranking_learns_and_never_sees_held_out_rows(spark, frame):
     rng = random.Random(2)
     good = [" ".join(rng.choice(["the", "river", "runs", "by", "stones", "and", "hills"]) for _ in range(40)) + "." for _ in range(60)]
