@@ -1,7 +1,8 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Three base patterns (assignments, access keys, long hexadecimal runs) give spans that always stay. A fourth, wider one gives
-candidates: runs of 20 or more key characters that hold digits, upper and lower case. Every value is hashed, and the
+candidates: runs of 20 or more key characters that hold digits, upper and lower case, or are long keys of digits and letters of one
+case. A candidate's value is that of the assignment it lies in or over, otherwise the run without a leading ``name=``. Every value is hashed, and the
 hashes are counted over the whole corpus by distinct repositories and distinct owners. A value that many owners hold, or that
 stands in many repositories, is a copied example; one with few of both is a live-looking credential, and such candidates become
 spans of kind ``live``. Counting combines on the map side, first by (value, owner, repository), so a value in a third of all rows is one
@@ -27,6 +28,9 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 #: Candidates for the ownership count.
 WIDE = r"[A-Za-z0-9+/_=-]{20,}"
+#: A name before a candidate's value, and long values of one case.
+NAME = r"^[A-Za-z0-9_-]+=(?=[^=])"
+ONE_CASE = r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[a-z0-9_]{32,}|[A-Z0-9_]{32,})=*$"
 KINDS = ("assign", "access", "hex", "live")
 
 
@@ -56,6 +60,12 @@ def _spans(kind: str, pattern: str, group: int = 0, least: int = 1) -> Column:
     return F.aggregate(zipped, start, add, lambda s: s["out"])
 
 
+def _own_value(span: Column) -> Column:
+    """The value of a candidate without the name of its key."""
+    over = F.filter(F.col("assign"), lambda a: (a["start"] < span["end"]) & (span["start"] < a["end"]))
+    return F.coalesce(F.get(over, F.lit(0))["value"], F.regexp_replace(span["value"], F.lit(NAME), F.lit("")))
+
+
 def _if(found: Column, spans: Column) -> Column:
     """Only texts in which a cheap search finds something are taken apart."""
     return F.when(found, spans).otherwise(
@@ -96,7 +106,9 @@ def scan_secrets(
         F.coalesce(repository.cast("string"), F.lit("")).alias("repository"),
     )
     text = F.col("text")
-    looks_live = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
+    mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
+    looks_live = lambda s: mixed(s) | _own_value(s).rlike(ONE_CASE)
+    valued = lambda s: F.struct(*(s[n].alias(n) for n in ("start", "rank", "kind", "end")), _own_value(s).alias("value"))
     found = source.select(
         "id",
         "owner",
@@ -105,8 +117,9 @@ def scan_secrets(
         _if(text.rlike(ASSIGN), _spans("assign", ASSIGN, 2, 8)).alias("assign"),
         _if(text.contains("AKIA"), _spans("access", ACCESS)).alias("access"),
         _if(text.rlike(HEX), _spans("hex", HEX)).alias("hex"),
-        _if(text.rlike(WIDE), F.filter(_spans("live", WIDE), looks_live)).alias("wide"),
+        _if(text.rlike(WIDE), _spans("live", WIDE)).alias("wide"),
     )
+    found = found.withColumn("wide", F.transform(F.filter("wide", looks_live), valued))
     found = cut(
         found.select(
             "id", "owner", "repository", "key", F.concat("assign", "access", "hex").alias("base"), "wide",

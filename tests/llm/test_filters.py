@@ -155,6 +155,18 @@ def test_secrets_of_one_owner_in_many_repositories(spark, frame):
     assert named[0].n_live == 0 and named[0].held == "example:2:25:5:5"
 
 
+def test_secrets_count_values_without_key_names(frame):
+    """One value under several names is one value; long keys of one case are candidates."""
+    value, low = "Live0000AAAAbbbb1111cccc", "9f3c" * 10
+    rows = [(0, f"api_key={value}"), (1, f"secret: {value}"), (2, f"auth={value}"), (3, f"x token = {low}"), (4, "aGVsbG8gd29ybGQgMTIzNDU2Nw==")]
+    scan = secret_scan.scan_secrets(frame(rows), F.col("source"), F.col("doc_id"))
+    got = {r.doc_id: r for r in scan.collect()}
+    assert got[0].held == "assign:0:32:3:3,example:0:32:3:3" and got[2].held == "example:0:29:3:3"
+    assert got[1].held == "assign:0:32:3:3,example:8:32:3:3"
+    assert [got[k].n_live for k in range(5)] == [0, 0, 0, 1, 1]
+    assert "live:10:50" in got[3].spans.split(",")
+
+
 PAGES = [
     (1, "HTTP://Sub.Example.NET/en/x?q#f", "sub.example.net", "/en/x", "example.net/en/", "allow"),
     (2, "https://other.net/a", "other.net", "/a", "net/", "block"),
