@@ -14,8 +14,10 @@ from barloom.llm import (
     lm_scoring,
     quality,
     secret_scan,
+    spelling_variants,
     suffix_dedup,
     token_counts,
+    token_files,
     url_filter,
 )
 from barloom.llm.common import table
@@ -78,6 +80,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands in the files after they are written, read back from them."""
+    docs = table(spark, sf_dir, "documents")
+    found = token_files.read_token_files(token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    n_tokens = F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return found.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted misspellings: a letter less in every 199th word of a document, by hash."""
+    return spelling_variants.spelling_groups(table(spark, sf_dir, "documents"), noise=199)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_byte_bpe": op2_byte_bpe,
@@ -89,4 +104,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_url_filter": op10_url_filter,
+    "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
