@@ -103,4 +103,72 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id))
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
-ORACLE = {"op5_decontaminate": BENCHMARK, "op7_jaccard_join": NEAR, "op8_exact_dedup": EXACT, "op10_url_filter": URLS}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+size AS (SELECT count(*)::BIGINT AS N, sum(len(w))::BIGINT AS L FROM d WHERE len(w) > 0),
+q AS (
+  SELECT DISTINCT item_id, t
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark)),
+f AS (
+  SELECT r, doc_id, own, t, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(w)::BIGINT AS own, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+df AS (SELECT t, count(*)::BIGINT AS df FROM f GROUP BY t),
+part AS (
+  SELECT r, doc_id, t, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+    * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * own * N) // L))) AS p
+  FROM f JOIN df USING (t), size),
+scored AS (SELECT item_id, r, doc_id, sum(p)::BIGINT AS score FROM q JOIN part USING (t) GROUP BY ALL HAVING sum(p) > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
+# The checksum as a fold over bytes; its table of 256 entries comes from eight shifts of each index.
+_CRC_ROWS = "SELECT i, i AS c0 FROM range(256) r(i)"
+for _k in range(8):
+    _CRC_ROWS = f"SELECT i, CASE WHEN c{_k} & 1 = 1 THEN xor(c{_k} >> 1, 3988292384) ELSE c{_k} >> 1 END AS c{_k + 1} FROM ({_CRC_ROWS})"
+
+VARIANTS = rf"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list(c8 ORDER BY i) AS t FROM ({_CRC_ROWS})),
+run AS (
+  SELECT name, w, count(*)::BIGINT AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS name, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(name || ':' || w, ''), lambda x:
+      CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [195::BIGINT, ord(x)::BIGINT - 64] END))),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295::BIGINT) AS h
+  FROM run, crc),
+noisy AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM noisy WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN less b USING (rest, i) WHERE a.word <> b.word),
+best AS (
+  SELECT word, count(*)::BIGINT AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, form AS root, 1 AS k FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT word, last(root ORDER BY k) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends USING (word)
+"""
+
+ORACLE = {
+    "op5_decontaminate": BENCHMARK,
+    "op7_jaccard_join": NEAR,
+    "op8_exact_dedup": EXACT,
+    "op10_url_filter": URLS,
+    "op11_lexical_search": RANKED,
+    "op13_spelling_variants": VARIANTS,
+}

@@ -11,6 +11,7 @@ from barloom.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    lexical_search,
     lm_scoring,
     quality,
     secret_scan,
@@ -80,6 +81,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stands in the files after they are written, read back from them."""
     docs = table(spark, sf_dir, "documents")
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_lexical_search": op11_lexical_search,
     "op12_token_files": op12_token_files,
     "op13_spelling_variants": op13_spelling_variants,
 }
