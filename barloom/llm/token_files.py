@@ -15,18 +15,21 @@ Documents are dealt by ranges of (id, hash of the text) and sorted inside a rang
 are in ascending order among themselves. A repeated id that many rows hold is split by the hash. A file's name is new for every attempt of a task; the
 manifest, written once all are done, lists the files of the attempts that count, so a task that runs again leaves nothing twice.
 
-Texts are cut at single spaces between other characters, where no token of this kind of tokenizer crosses, and each piece is encoded
-by the tokenizer library once per worker and kept in a bounded table. Null and empty texts have the end id alone; long texts are taken
+Texts are cut at single spaces and line feeds between other characters, where no token of this kind of tokenizer (byte-level, with the published
+pattern and no space put in front) crosses; another kind is refused. Each piece is encoded by the tokenizer library once per worker and kept in a bounded
+table. Null and empty texts have the end id alone; long texts are taken
 whole; rows that repeat an id each have their place; rows with a null id come first; an empty table writes no file; other columns are ignored.
 Ids of documents must be integers.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -61,10 +64,20 @@ _RARE = re.compile(f"[{_WHITE}]")
 _SINGLE = re.compile(f"(?<=[^ \\n{_WHITE}]) (?=[^ \\n{_WHITE}])")
 
 
+#: A piece that is one word, perhaps behind a line feed and before some punctuation: three pre-tokens at most.
+_WORD = re.compile("(\\n?)([A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f]+)([.,;:!?*$%]*)")
+# Fixed values of byte-level tokenizers: bytes without a visible character stand as characters from 256 on.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
 def _cut_up(text: str) -> list[str]:
-    """The text cut at spaces that stand alone between two other characters."""
-    plain = text[:1] != " " and text[-1:] != " " and "  " not in text and "\n " not in text and " \n" not in text
-    return text.split(" ") if plain and _RARE.search(text) is None else _SINGLE.split(text)
+    """The text cut before spaces and line feeds that stand alone between two other characters.
+
+    A piece that starts with a line feed has no space before it, every other but the first has.
+    """
+    plain = text[:1] != " " and text[-1:] != " " and not any(x in text for x in ("  ", "\n ", " \n", "\n\n"))
+    return text.replace("\n", " \n").split(" ") if plain and _RARE.search(text) is None else _SINGLE.split(text)
 
 
 class Encoder:
@@ -72,30 +85,69 @@ class Encoder:
 
     def __init__(self, model: str, kept: int = KEPT):
         self.tokenizer, self.most = Tokenizer.from_str(model), kept // 2
+        kind = json.loads(model)["pre_tokenizer"] or {}
+        if kind.get("type") != "ByteLevel" or kind.get("add_prefix_space") or not kind.get("use_regex", True):
+            raise ValueError("the tokenizer must be byte-level, with its pattern and without a space put in front")
+        self.bpe = self.tokenizer.model
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b"", "\n": self._encoded(["\n"])[0]}
 
     def _encoded(self, found: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+
+    def _word(self, shown: str) -> bytes:
+        """Ids of one pre-token in the characters that stand for its bytes."""
+        return array("I", [t.id for t in self.bpe.tokenize(shown)]).tobytes()
+
+    def _learn(self, missing: list[str]) -> None:
+        whole = []
+        for x in missing:
+            if (ids := self.old.get(x)) is None:
+                found = _WORD.fullmatch(x) if len(x) <= SHORT else None
+                if found is None:
+                    whole.append(x)
+                    continue
+                line, stem, tail = found.groups()
+                if tail not in self.tails:
+                    if len(self.tails) > 10_000:
+                        self.tails = {"": b"", "\n": self.tails["\n"]}
+                    self.tails[tail] = self._encoded([tail])[0]
+                shown = stem if stem.isascii() else stem.encode("utf-8").decode("latin-1").translate(_SHOWN)
+                if line:
+                    ids = self.tails["\n"] + self._word(shown) + self.tails[tail]
+                else:
+                    ids = self.young.get(stem) or self.old.get(stem)
+                    if ids is None:
+                        ids = self.young[stem] = self._word(_SPACE + shown)
+                    ids += self.tails[tail]
+            self.young[x] = ids
+        self.young.update(zip(whole, self._encoded([x if x[:1] == "\n" else " " + x for x in whole]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut_up = [_cut_up(t) for t in texts]
         heads = self._encoded([p[0] for p in cut_up])
-        rest = [p[1:] for p in cut_up]
-        new = set().union(*rest) - self.young.keys()
-        known = new & self.old.keys()
-        self.young.update((x, self.old[x]) for x in known)
-        missing = list(new - known)
-        self.young.update(zip(missing, self._encoded([" " + x for x in missing]), strict=True))
-        out = [b"".join([head, *map(self.young.__getitem__, p)]) for head, p in zip(heads, rest, strict=True)]
-        for x in missing:
-            if len(x) > SHORT:
+        out = []
+        for head, own in zip(heads, cut_up, strict=True):
+            own[0] = ""
+            self.young[""] = head
+            ids = list(map(self.young.get, own))
+            long = []
+            if None in ids:
+                missing = {own[k] for k, x in enumerate(ids) if x is None}
+                self._learn(list(missing))
+                ids = list(map(self.young.get, own))
+                long = [x for x in missing if len(x) > SHORT]
+            out.append(b"".join(ids))
+            for x in long:
                 del self.young[x]
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
+            if len(self.young) > self.most:
+                self.old, self.young = self.young, {}
         return out
 
 
+_SPACE = chr(_SHOWN[0x20])
+
 #: The encoder of this worker process, under the checksum of its model; tasks that the same worker runs share it.
 _ENCODERS: dict[int, Encoder] = {}
 
