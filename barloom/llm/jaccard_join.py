@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import PIECE_BYTES, cut, listed, pieces, short, spread, utf8_of, without
-from barloom.llm.suffix_dedup import _base, _mixed, _powers
+from barloom.llm.suffix_dedup import _mixed
 
 #: Cells of the counting sketch: 2 ** CELL_BITS.
 CELL_BITS = 24
@@ -53,6 +53,27 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def string_hashes(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings of at least one byte: the sum of a mixed value for each eight bytes and their place, mixed with the length.
+
+    Values are mixed before they are added. Sums of powers modulo a power of two would be cheaper, but have strings that collide for every base.
+    """
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    held = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), np.dtype("<u8"), held, strides=(1,))
+    steps = (length + 7) // 8
+    start = np.cumsum(steps) - steps
+    owner = np.repeat(np.arange(len(first)), steps)
+    place = np.arange(len(owner)) - start[owner]
+    part = eights[first[owner] + 8 * place]
+    left = length[owner] - 8 * place
+    short = left < 8
+    part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+    value = _mixed(part ^ _mixed(place.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+    return _mixed(np.add.reduceat(value, start) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, A-Z lower-cased; first word of each text and past the last).
 
@@ -66,13 +87,7 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     inside = ~_WHITE[padded]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
     first, last = edge[::2], edge[1::2]
-    values, _, _ = _base(21)
-    size = len(padded) + 1
-    capacity = 1 << max(20, int(size - 1).bit_length())
-    up, down = _powers(21, False, capacity), _powers(21, True, capacity)
-    sums = np.zeros(size, np.uint64)
-    np.cumsum(values[padded] * up[: len(padded)], out=sums[1:])
-    word = _mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+    word = string_hashes(padded, first, last - first)
     owner = np.searchsorted(ends[1:] + np.arange(1, count + 1), first, "right")
     return word, np.searchsorted(owner, np.arange(count + 1))
 
@@ -123,18 +138,23 @@ def _sketch(source: DataFrame, n: int) -> np.ndarray:
     """Priority (0 to 255, by the logarithm of the count) of each cell of the counting sketch; its size is fixed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.uint32)
+        cells = np.zeros(CELLS, np.uint16)  # counts stop at the largest value; no other array is as wide
+
+        def add_up(held: list[np.ndarray]) -> None:
+            cell, times = np.unique(np.concatenate(held), return_counts=True)
+            cells[cell] = np.minimum(cells[cell].astype(np.int64) + times, 65535)
+
         for batch in batches:
-            held = []
+            held, size = [], 0
             for _, own in _sets(batch, 1, n):
-                held.append((own >> np.uint64(64 - CELL_BITS)).astype(np.int64))
-                if len(held) > 500:
-                    cells += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
-                    held = []
+                held.append((own >> np.uint64(64 - CELL_BITS)).astype(np.uint32))
+                size += len(own)
+                if size > HELD // 4:
+                    add_up(held)
+                    held, size = [], 0
             if held:
-                cells += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
-        small = np.minimum(cells, 65535).astype(np.uint16).reshape(SEGMENTS, -1)
-        packed = [zlib.compress(x.tobytes(), 1) for x in small]
+                add_up(held)
+        packed = [zlib.compress(x.tobytes(), 1) for x in cells.reshape(SEGMENTS, -1)]
         yield pa.RecordBatch.from_arrays([pa.array(range(SEGMENTS), pa.int32()), pa.array(packed, pa.binary())], names=["segment", "cells"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

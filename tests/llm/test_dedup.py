@@ -164,3 +164,29 @@ def test_blocks_repeat_when_a_task_runs_again(frame, monkeypatch):
     assert len(first) > 5 and first == made(rows) == made(rows[::-1])
     several = suffix_dedup._blocks(frame(rows).repartition(4), "doc_id", "text").collect()
     assert len({bytes(r.block) for r in several}) == len(several) and sum(len(r.ids) for r in several) == len(rows)
+
+
+def thue_morse(length):
+    text = "a"
+    while len(text) < length:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
+@pytest.mark.parametrize("length", [1024, 4096])
+def test_long_regular_words_are_told_apart(frame, length):
+    """Sums of powers modulo 2 ** 64 have one value for such a word and its complement, for any base."""
+    one = thue_morse(length)
+    two = one.translate(str.maketrans("ab", "ba"))
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame([(1, one), (2, two), (3, one)])).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_hashes_of_words_depend_on_every_byte_and_its_place():
+    words = [b"a", b"aa", b"ab", b"ba", b"abcdefgh", b"abcdefghabcdefgh", b"hgfedcba", b"abcdefghi", b"iabcdefgh", b"a" * 64, b"a" * 65, b"a" * 72]
+    data = np.frombuffer(b"\x00".join(words), np.uint8)
+    length = np.array([len(w) for w in words])
+    first = np.cumsum(length + 1) - length - 1
+    assert len(set(jaccard_join.string_hashes(data, first, length).tolist())) == len(words)
+    again = jaccard_join.string_hashes(np.concatenate([data, data]), np.concatenate([first, first + len(data)]), np.tile(length, 2))
+    assert (again[: len(words)] == again[len(words) :]).all()
