@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 from barloom.functions import finite, row_hash, zero_if_missing
 from barloom.functions.scalar import epoch_micros, names
 from barloom.operators.quantiles import exact_quantiles
-from barloom.operators.scan import Running, prefix_scan
+from barloom.operators.selection import hash_thresholds, with_thresholds
 from barloom.schema import ALIASES, NOT_FEATURES, PRICES
 
 SEED = 42
-_HASH_DIGITS = 4  # 65 536 pieces per class
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -49,23 +48,18 @@ def zero_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: zero_if_missing(c) for c in columns})
 
 
-def class_rank(df: DataFrame, label: str | Sequence[str] = "target", seed: int = SEED) -> DataFrame:
-    """Random but reproducible rank (``_rank``, from 1) of a row in its class, and the class size.
+def split_random(df: DataFrame, test: float = 0.2, label: str | Sequence[str] = "target", seed: int = SEED) -> DataFrame:
+    """Stratified random split. Neighbouring bars share windows, so prefer ``split_time``.
 
-    Rows are ranked by a hash; a class is cut into ranges of the hash, so it needs no single task.
+    The rows of a class with the smallest hashes are the test rows. The frame is read for counting and again for marking,
+    so one that costs much should be stored.
     """
-    hashed = df.withColumn("_hash", row_hash(seed))
-    hashed = hashed.withColumn("_piece", F.conv(F.substring("_hash", 1, _HASH_DIGITS), 16, 10).cast("int"))
-    one = Running("sum", F.lit(1).cast("bigint"))
     keys = (label,) if isinstance(label, str) else tuple(label)
-    return prefix_scan(hashed, keys, "_piece", "_hash", {"_rank": one}, totals=True).drop("_hash", "_piece")
-
-
-def split_random(df: DataFrame, test: float = 0.2, label: str = "target", seed: int = SEED) -> DataFrame:
-    """Stratified random split. Neighbouring bars share windows, so prefer ``split_time``."""
-    ranked = class_rank(df, label, seed)
-    is_test = F.col("_rank") <= F.col("_rank_total") * test
-    return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_rank", "_rank_total")
+    hashed = df.withColumn("_hash", row_hash(seed))
+    at = hash_thresholds(hashed, keys, "_hash", lambda n: [F.floor(n * test)])
+    marked = with_thresholds(hashed, keys, at)
+    is_test = F.col("_hash") <= F.col("_at")[0]
+    return marked.withColumn("split", F.when(is_test, "test").otherwise("train")).select(*df.columns, "split")
 
 
 def split_time(df: DataFrame, test: float = 0.2, label_ts: str | None = None) -> DataFrame:
@@ -83,9 +77,16 @@ def split_time(df: DataFrame, test: float = 0.2, label_ts: str | None = None) ->
 
 
 def folds(df: DataFrame, k: int = 5, label: str | Sequence[str] = "target", seed: int = SEED) -> DataFrame:
-    """Stratified fold number 0 .. k-1."""
-    ranked = class_rank(df, label, seed)
-    return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_rank_total")
+    """Stratified fold number 0 .. k-1: ranges of the hash that cut each class into parts of like size, the larger ones first.
+
+    Read twice, as in ``split_random``.
+    """
+    keys = (label,) if isinstance(label, str) else tuple(label)
+    hashed = df.withColumn("_hash", row_hash(seed))
+    ends = lambda n: [j * F.floor(n / k) + F.least(F.lit(j), n % k) for j in range(1, k)]
+    marked = with_thresholds(hashed, keys, hash_thresholds(hashed, keys, "_hash", ends))
+    below = F.size(F.filter("_at", lambda t: t < F.col("_hash")))
+    return marked.withColumn("fold", below.cast("int")).select(*df.columns, "fold")
 
 
 def class_weights(df: DataFrame, label: str = "target") -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import ratio
 from barloom.operators.clean import attach_series
+from barloom.operators.moments import class_counts, correlations
 from barloom.operators.quantiles import exact_quantiles
 from barloom.schema import Layout
 
@@ -81,19 +82,26 @@ def long_form(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
 def class_histogram(df: DataFrame, columns: Sequence[str], group: str = "target", bins: int = 30) -> DataFrame:
     """Density histogram per column and class, each over its own range.
 
-    ``group`` is a 0/1 column, so there are two ranges per column: few enough to broadcast.
+    ``group`` is a 0/1 column. Ranges come from one wide aggregate, two rows of numbers; counts from arrays, one per task.
     """
-    long = long_form(df.filter(F.col(group).isin(0, 1)), columns, group)
+    rows = df.filter(F.col(group).isin(0, 1))
+    wide = rows.groupBy(group).agg(
+        *(e.alias(f"{n}{i}") for i, c in enumerate(columns) for n, e in zip(("l", "h"), _range(F.col(c).cast("double")), strict=True))
+    )
+    found = {(i, r[group]): (r[f"l{i}"], r[f"h{i}"]) for r in wide.collect() for i in range(len(columns)) if r[f"l{i}"] is not None}
+    counts = class_counts(rows, columns, group, found, bins)
+    spark, kind = df.sparkSession, df.schema[group].dataType
+    ends = spark.createDataFrame(
+        [(i, columns[i], g, *e) for (i, g), e in found.items()], "column int, feature string, _group long, _low double, _high double"
+    )
     keys = ["feature", group]
-    ends = long.groupBy(*keys).agg(*_range(F.col("value")))
-    placed = long.join(F.broadcast(ends), keys).withColumn("bin", _bin(F.col("value"), bins))
-    counts = placed.groupBy(*keys, "bin").agg(F.count("*").alias("rows"))
-    filled = _complete(counts, ends, keys, bins)
-    sizes = counts.groupBy(*keys).agg(F.sum("rows").alias("_all"))
+    ends = ends.withColumn(group, F.col("_group").cast(kind)).drop("_group")
+    counts = counts.join(F.broadcast(ends.select("column", "feature")).distinct(), "column")  # a row per column
+    counts = counts.select("feature", F.col("group").cast(kind).alias(group), "bin", "rows")
+    filled = _complete(counts, ends.select(*keys, "_low", "_high"), keys, bins)
     width = F.col("right_edge") - F.col("left_edge")
-    return filled.join(sizes, keys).select(
-        *keys, "bin", "left_edge", "right_edge", "rows", (F.col("rows") / (F.col("_all") * width)).alias("density")
-    )
+    every = F.sum("rows").over(Window.partitionBy(*keys))  # over a row per bin
+    return filled.select(*keys, "bin", "left_edge", "right_edge", "rows", (F.col("rows") / (every * width)).alias("density"))
 
 
 def class_means(df: DataFrame, columns: Sequence[str], group: str = "target") -> DataFrame:
@@ -169,33 +177,12 @@ def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataF
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], upper: bool = False) -> DataFrame:
-    """Pearson correlation of every pair of columns over the rows that have both.
-
-    The pairs are pairs of columns, a fixed number per row, and are combined before the shuffle. One wide aggregate
-    over all pairs was measured to be slower: its code is too large to be compiled.
-    """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + upper :]]
-    entries = F.array(
-        *(
-            F.struct(
-                F.lit(a).alias("feature_a"),
-                F.lit(b).alias("feature_b"),
-                F.col(a).cast("double").alias("_a"),
-                F.col(b).cast("double").alias("_b"),
-            )
-            for a, b in pairs
-        )
-    )
-    long = df.select(F.inline(entries)).filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    # Merging partial moments of a constant leaves rounding dust, hence the test for variation.
-    varies = (F.min("_a") < F.max("_a")) & (F.min("_b") < F.max("_b"))
-    corr = ratio(F.covar_samp("_a", "_b"), F.stddev_samp("_a") * F.stddev_samp("_b"))
-    half = long.groupBy("feature_a", "feature_b").agg(F.when(varies, corr).alias("corr"))
+    """Pearson correlation of every pair of columns over the rows that have both, from one matrix of co-moments per task."""
+    found = correlations(df, columns)
     if upper:
-        return half
-    mirrored = F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"))
-    both = F.array_distinct(F.array(F.struct("feature_a", "feature_b"), mirrored))
-    return half.select(F.inline(both), "corr").select("feature_a", "feature_b", "corr")
+        found = found.filter("a < b")
+    named = F.array(*map(F.lit, columns))
+    return found.select(named[F.col("a")].alias("feature_a"), named[F.col("b")].alias("feature_b"), "corr")
 
 
 def target_corr(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:

@@ -207,8 +207,8 @@ def _rank_rules(pred: DataFrame) -> DataFrame:
 
 
 def _scaled(bars: DataFrame) -> DataFrame:
-    rows = dataset.select_features(feature_panel(bars, HOURLY, "mini8"), MINI8)
-    divided = materialize(dataset.split_random(rows))
+    rows = materialize(dataset.select_features(feature_panel(bars, HOURLY, "mini8"), MINI8))
+    divided = dataset.split_random(rows)
     scaler = dataset.RobustScaler.fit(divided.filter("split = 'train'"), MINI8)
     return scaler.transform(divided)
 
@@ -247,7 +247,8 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prepared(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, model.Preparation]:
     rows = training_rows(stored_bars(spark, sf_dir), HOURLY, name)
-    train = materialize(dataset.folds(dataset.split_random(rows).filter("split = 'train'")))
+    divided = dataset.split_random(materialize(rows))
+    train = materialize(dataset.folds(divided.filter("split = 'train'")))
     return train, model.Preparation.fit(train, FEATURE_SETS[name])
 
 
@@ -419,10 +420,10 @@ QUERIES: dict[str, Query] = {
     "features_core35": _feature_set("core35"),
     "features_mini8": _feature_set("mini8"),
     # training sets
-    "split_random": _on_bars(lambda b: dataset.split_random(_labelled(b))),
+    "split_random": _on_bars(lambda b: dataset.split_random(materialize(_labelled(b))), stored_bars),
     "split_embargo": _on_bars(_embargo, stored_bars),
     "split_time": _on_bars(lambda b: dataset.split_time(materialize(_labelled(b))), stored_bars),
-    "folds": _on_bars(lambda b: dataset.folds(_labelled(b))),
+    "folds": _on_bars(lambda b: dataset.folds(materialize(_labelled(b))), stored_bars),
     "class_weights": _on_bars(lambda b: dataset.class_weights(_labelled(b))),
     "robust_scaled": _on_bars(_scaled, stored_bars),
     # evaluation

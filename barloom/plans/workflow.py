@@ -56,8 +56,8 @@ def train_and_rank(
     are written out once, because every fit and every fold reads them.
     """
     features = FEATURE_SETS[name]
+    rows = materialize(rows)
     divided = dataset.split_random(rows) if split == "random" else dataset.split_time(rows)
-    divided = materialize(divided)
     train = materialize(dataset.folds(divided.filter(F.col("split") == "train").drop("split"), k))
     test = divided.filter(F.col("split") == "test").drop("split")
     preparation = model.Preparation.fit(train, features)

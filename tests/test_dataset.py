@@ -18,15 +18,15 @@ def labelled(spark, layout):
     return compute(to_spark(spark, walk(400, 1)), layout, label.target()).cache()
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 50, 3])
-def test_exact_quantiles(spark, limit):
+@pytest.mark.parametrize(("held", "accuracy"), [(4096, 10_000), (4096, 100), (64, 100), (64, 1000)])
+def test_exact_quantiles(spark, held, accuracy):
     """Also through the bracketing that large inputs take, and with one value on a third of the rows."""
     rng = np.random.default_rng(0)
     x = rng.normal(0, 1, 3000)
     x[:1000] = 0.25
     frame = pd.DataFrame({"x": x, "y": np.exp(rng.normal(0, 4, 3000)), "z": np.full(3000, 7.0)})
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 0.9, 1.0]
-    got = exact_quantiles(spark.createDataFrame(frame), ["x", "y", "z"], probs, accuracy=100, limit=limit)
+    got = exact_quantiles(spark.createDataFrame(frame), ["x", "y", "z"], probs, accuracy=accuracy, held=held)
     for c in frame:
         assert_same(got[c], frame[c].quantile(probs), 1e-12)
 

@@ -230,6 +230,14 @@ def _hash(seed: int) -> str:
 _LABELLED = f"""{_FEATURES}, labelled AS (
   SELECT *, row_number() OVER (PARTITION BY target ORDER BY {_hash(42)}) AS class_rank,
     count(*) OVER (PARTITION BY target) AS class_rows FROM s4)"""
+
+
+def _fold(rank: str, rows: str, k: int = 5) -> str:
+    """Ranges of ranks; the first ``rows % k`` folds have one row more."""
+    ends = (f"CASE WHEN {rank} > {j} * ({rows} // {k}) + least({j}, {rows} % {k}) THEN 1 ELSE 0 END" for j in range(1, k))
+    return f"CAST({' + '.join(ends)} AS INT)"
+
+
 _SPLIT = "CASE WHEN class_rank <= class_rows * 0.2 THEN 'test' ELSE 'train' END AS split"
 
 # Predictions of three fixed rules.
@@ -286,7 +294,9 @@ _REPORT = f"""{_CELLS}, wide AS (
     (f0 * n0 + f1 * n1) / rows, rows FROM wide)"""
 
 _RANKED = f"""{_CELLS}, folded AS (
-  SELECT *, (row_number() OVER (PARTITION BY model, label ORDER BY {_hash(42)}) - 1) % 5 AS fold FROM pred),
+  SELECT *, {_fold("class_rank", "class_rows")} AS fold FROM (
+    SELECT *, row_number() OVER (PARTITION BY model, label ORDER BY {_hash(42)}) AS class_rank,
+      count(*) OVER (PARTITION BY model, label) AS class_rows FROM pred)),
 fold_f1 AS (
   SELECT model, fold, 2 * count(*) FILTER (label = 1 AND prediction = 1)
     / nullif(2 * count(*) FILTER (label = 1 AND prediction = 1) + count(*) FILTER (label <> prediction), 0) AS f1
@@ -498,7 +508,7 @@ ORACLE: dict[str, str] = {
         "s4",
     ),
     "folds": _query(
-        _LABELLED, ["symbol", "bar_ts", "close", "target", "CAST((class_rank - 1) % 5 AS INT) AS fold"], "labelled"
+        _LABELLED, ["symbol", "bar_ts", "close", "target", f"{_fold('class_rank', 'class_rows')} AS fold"], "labelled"
     ),
     "class_weights": _query(
         _FEATURES, ["target", "count(*) AS rows", "(SELECT count(*) FROM s4) / (2 * count(*)) AS weight"],
