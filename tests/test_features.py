@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -257,3 +259,35 @@ def test_step_sets_declare_their_reach():
     for name, steps in STEPS.items():
         assert steps(), name
         assert all(s.ahead == 0 for s in steps() if name != "full77")
+
+
+@pytest.mark.parametrize("window", [31, 32, 50, 100, 257, 500])
+def test_extremes_of_any_window(spark, layout, window):
+    """Across tiles, blocks and two series, with missing values; ``skip`` leaves out the latest bar."""
+    frame = pd.concat([walk(1200, 3, "A"), walk(300, 4, "B")])
+    frame.loc[frame.index % 7 == 0, "high"] = np.nan
+    df = to_spark(spark, frame)
+    step = structure.liquidity(window)
+    got = collected(compute(df, Layout(every=900, chunk_rows=40, block_rows=2 * window + 3), step, fibonacci.fibonacci(window)))
+    ordered = frame.sort_values(["symbol", "bar_ts"])
+    by = ordered.groupby("symbol", sort=False)
+    top = by.high.transform(lambda x: x.rolling(window, min_periods=1).max())
+    bottom = by.low.transform(lambda x: x.rolling(window, min_periods=1).min())
+    assert_same(got.resistance_level, top.to_numpy())
+    assert_same(got.support_level, bottom.to_numpy())
+    assert_same(got.rolling_high, top.to_numpy())
+    before = by.low.transform(lambda x: x.rolling(window, min_periods=1).min().shift(1))
+    swept = (ordered.low < before) & (ordered.close > before)
+    assert got.liquidity_sweep_down.tolist() == swept.astype(int).tolist()
+
+
+def test_no_sliding_frame_of_a_long_window(spark, layout):
+    """The frames of the extremes are running ones; their number does not grow with the window."""
+    frames = {}
+    for window in (64, 500):
+        plan = compute(to_spark(spark, walk(50)), layout, fibonacci.fibonacci(window))._jdf.queryExecution().optimizedPlan().toString()
+        found = re.findall(r"specifiedwindowframe\(RowFrame, ([^,]+), (-?\d+|[a-z]+)", plan)
+        wide = [(a, b) for a, b in found if a != b and not a.startswith("unbounded")]  # the others are look-ups of one row
+        assert not wide, wide
+        frames[window] = sum(a.startswith("unbounded") for a, _ in found)
+    assert frames[64] == frames[500] > 0
