@@ -6,9 +6,11 @@ from barloom.sources.results import (
     write_details,
     write_evaluation,
 )
+from barloom.sources.store import SeriesStore
 from barloom.sources.ticks import bars_from_ticks
 
 __all__ = [
+    "SeriesStore",
     "bars_from_ticks",
     "comparison_table",
     "detail_table",

@@ -76,8 +76,7 @@ def read_panel(spark: SparkSession, path: str, first: int | None = None, last: i
 
     Cut at the front, a series begins with the first bar read, so the stored positions are left out.
     """
-    fields = [*BAR_SCHEMA.fields, T.StructField(BAR_NO, T.LongType()), T.StructField("year", T.IntegerType())]
-    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    stored = spark.read.parquet(path)  # the type of the volume is the stored one
     if last is not None:
         stored = stored.filter(F.col("year") <= last)
     if first is not None:
