@@ -11,8 +11,9 @@ Every text becomes its set of distinct shingles of ``n`` words. Two sets link wh
    the one whose shingles are the most common. Large families of near copies collapse onto their hubs in linear work.
 4. Documents near the same hub are put into groups of about ``GROUP`` members, those of the hub's component apart from the others.
    The token-group matrix says which groups hold a prefix shingle; shingles that the same groups hold share a column. A document asks
-   a group only if it shares a column and the group has members of another component; sizes and the overlap with the
-   union of the group's shingles bound what it can share with a member, and only groups that pass the bound are opened.
+   a group only if it shares a column and the group has members of another component and of fitting size. The union of the shingles of each asked
+   group is stored, a row per group and half a hash per shingle; a document's overlap with it bounds what it shares with any member. Only where that is
+   enough the group is opened, which means that its members' sets are sent.
 5. Links between components are merged by star contraction.
 
 A pair inside a component needs no comparison, so nothing is lost. No step gathers a posting list, a class, a group of copies or
@@ -286,9 +287,8 @@ def _links(asked: DataFrame, members: DataFrame, sets: Callable[[DataFrame], Dat
     The documents that ask a group are split into parts of about ``ASKERS``; each part has the group's members.
     Documents of the same component are not compared.
     """
-    parts = asked.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")
-    one = asked.join(parts, "group").select("group", part, "id", "component", F.lit(False).alias("member"))
+    parts, one = _parted(asked)
+    one = one.withColumn("member", F.lit(False))
     part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     two = members.join(parts, "group").select("group", part, "id", "component", F.lit(True).alias("member"))
     wanted = cut(one.unionByName(two))
@@ -318,6 +318,47 @@ def _links(asked: DataFrame, members: DataFrame, sets: Callable[[DataFrame], Dat
     return rows.groupBy("group", "part").applyInPandas(run, "a long, b long")
 
 
+def _parted(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group, parts), and the documents that ask with their part: parts of about ``ASKERS`` by hash."""
+    parts = asked.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")
+    return parts, asked.join(parts, "group").select("group", part, "id", "component")
+
+
+def _unions(members: DataFrame, halves: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(group, union): the written unions of the shingles of each group's members, half a hash each."""
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        every = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in rows["shingles"]]))
+        return pd.DataFrame({"group": rows["group"].iloc[:1], "union": [every.tobytes()]})
+
+    rows = halves(members.select("id")).join(short(members.select("group", "id")), "id").select("group", "shingles")
+    return cut(rows.groupBy("group").applyInPandas(join, "group long, union binary"))
+
+
+def _qualifying(asked: DataFrame, unions: DataFrame, halves: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """The rows of ``asked`` whose document shares enough with the union of the group that it asks. Equal halves only raise the bound."""
+    parts, one = _parted(asked)
+    one = cut(one)
+    askers = halves(one.select("id")).join(short(one), "id").select("group", "part", "id", "component", "shingles")
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    stored = unions.join(parts, "group").select("group", part, "union")
+
+    def bound(rows: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(group):
+            return rows[["group", "id", "component"]].iloc[:0]
+        union = np.frombuffer(group["union"].iloc[0], np.uint32)
+        keep = []
+        for raw in rows["shingles"]:
+            own = np.frombuffer(raw, np.uint32)
+            at = np.minimum(np.searchsorted(union, own), len(union) - 1)
+            keep.append(int((union[at] == own).sum()) >= _needed(len(own), percent))
+        return rows.loc[keep, ["group", "id", "component"]]
+
+    both = askers.groupBy("group", "part").cogroup(stored.groupBy("group", "part"))
+    return both.applyInPandas(bound, "group long, id long, component long")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of each row of ``docs``."""
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
@@ -330,12 +371,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     sizes = full.groupBy("id").agg(F.max("size").alias("size"), F.max("common").alias("common"))
     sizes = cut(sizes.join(postings.select("id").distinct(), "id"))
 
-    def sets(ids: DataFrame) -> DataFrame:
-        """(id, shingles) of some documents. They are made anew for each use: that costs a pass, but no disk."""
+    def sets(ids: DataFrame, half: bool = False) -> DataFrame:
+        """(id, shingles) of some documents, whole hashes or their upper halves. They are made anew for each use: that costs a pass, but no disk."""
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = [(i, x.tobytes()) for i, x in _sets(batch, 1, n)]
+                own = [(i, ((x >> np.uint64(32)).astype(np.uint32) if half else x).tobytes()) for i, x in _sets(batch, 1, n)]
                 for a in range(0, len(own), 500):
                     part = own[a : a + 500]
                     names = batch.column(0).take(pa.array([i for i, _ in part], pa.int64()))
@@ -393,8 +434,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
         .distinct()
     )
     asked = cut(asked)
-    members = grouped.join(asked.select("group").distinct(), "group", "left_semi").select("group", "id", "component")
-    second = cut(_links(asked, members, sets, percent))
+    halves = lambda ids: sets(ids, half=True)
+    inside = lambda groups: grouped.join(groups.select("group").distinct(), "group", "left_semi").select("group", "id", "component")
+    passed = cut(_qualifying(asked, _unions(cut(inside(asked)), halves), halves, percent))
+    second = cut(_links(passed, inside(passed), sets, percent))
     final = components(first.unionByName(second))
 
     named = described.select("id", "size", "signature").join(classes, "signature", "left")

@@ -190,3 +190,36 @@ def test_hashes_of_words_depend_on_every_byte_and_its_place():
     assert len(set(jaccard_join.string_hashes(data, first, length).tolist())) == len(words)
     again = jaccard_join.string_hashes(np.concatenate([data, data]), np.concatenate([first, first + len(data)]), np.tile(length, 2))
     assert (again[: len(words)] == again[len(words) :]).all()
+
+
+def test_groups_are_opened_only_where_their_union_suffices(spark, frame, monkeypatch):
+    """Two documents that share a rare beginning but not enough; the group that the second asks is not opened."""
+    seen = []
+    links = jaccard_join._links
+
+    def watched(asked, members, sets, percent):
+        seen.append((asked.count(), members.count()))
+        return links(asked, members, sets, percent)
+
+    monkeypatch.setattr(jaccard_join, "_links", watched)
+    rng = random.Random(1)
+    words = [f"v{k}" for k in range(4000)]
+    base = rng.sample(words, 60)
+    rows = [(k, " ".join(base[:20] + rng.sample(words, 40))) for k in range(30)]
+    rows += [(100 + k, " ".join([*base, f"t{k}"])) for k in range(5)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame(rows)).collect()}
+    assert got == brute_components(rows)
+    unions = jaccard_join._unions(
+        spark.createDataFrame([(1, 10, 10), (1, 11, 11)], "group long, id long, component long"),
+        lambda ids: spark.createDataFrame(
+            [(10, np.array([1, 5], "u4").tobytes()), (11, np.array([5, 9], "u4").tobytes()), (12, np.array([1, 9, 9], "u4").tobytes()), (13, np.array([1, 2, 3], "u4").tobytes())],
+            "id long, shingles binary",
+        ).join(ids.distinct(), "id"),
+    )
+    assert [np.frombuffer(r.union, np.uint32).tolist() for r in unions.collect()] == [[1, 5, 9]]
+    asked = spark.createDataFrame([(1, 12, 12), (1, 13, 13)], "group long, id long, component long")
+    halves = lambda ids: spark.createDataFrame(
+        [(12, np.array([1, 9, 9], "u4").tobytes()), (13, np.array([1, 2, 3], "u4").tobytes())], "id long, shingles binary"
+    ).join(ids, "id")
+    assert [r.id for r in jaccard_join._qualifying(asked, unions, halves, 80).collect()] == [12]
+    assert len(seen) == 2
