@@ -39,7 +39,7 @@ PARTS = 6
 #: Letters at either end of a word that are part of a key; near words of twice as many letters share one end.
 END = 3
 #: Distinct words that a task holds before it sends their counts.
-HELD = 400_000
+HELD = 150_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
