@@ -50,7 +50,7 @@ LARGE = 1 << 28
 #: Bytes of compressed frames after which a file is closed.
 FILE = 1 << 28
 #: Pieces of text whose ids a worker keeps, and the longest of them in characters.
-KEPT, SHORT = 1_000_000, 48
+KEPT, SHORT = 1_200_000, 48
 # Fixed values of the seekable format.
 SKIPPABLE_DIRECTORY = 0x184D2A50
 SKIPPABLE_SEEK_TABLE = 0x184D2A5E
@@ -104,6 +104,9 @@ class Encoder:
         whole = []
         for x in missing:
             if (ids := self.old.get(x)) is None:
+                if x.isascii() and x.isalpha() and len(x) <= SHORT:  # most new pieces
+                    self.young[x] = self._word(_SPACE + x)
+                    continue
                 found = _WORD.fullmatch(x) if len(x) <= SHORT else None
                 if found is None:
                     whole.append(x)
@@ -134,9 +137,11 @@ class Encoder:
             ids = list(map(self.young.get, own))
             long = []
             if None in ids:
-                missing = {own[k] for k, x in enumerate(ids) if x is None}
+                gaps = [k for k, x in enumerate(ids) if x is None]
+                missing = {own[k] for k in gaps}
                 self._learn(list(missing))
-                ids = list(map(self.young.get, own))
+                for k in gaps:
+                    ids[k] = self.young[own[k]]
                 long = [x for x in missing if len(x) > SHORT]
             out.append(b"".join(ids))
             for x in long:
