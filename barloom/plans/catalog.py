@@ -31,6 +31,7 @@ from barloom.plans.workflow import train_and_rank, training_rows
 from barloom.schema import FEATURE_SETS, MINI8, PRICES, Layout
 from barloom.session import checkpoint_dir, materialize
 from barloom.sources import (
+    SeriesStore,
     bars_from_ticks,
     comparison_table,
     evaluation_table,
@@ -41,7 +42,7 @@ from barloom.sources import (
     write_panel,
 )
 from barloom.sources.files import unique_bars
-from barloom.streaming import bar_stream
+from barloom.streaming import bar_stream, feature_batches, reach_of, with_reach
 
 Query = Callable[[SparkSession, str], DataFrame]
 HOURLY, QUARTER, DAILY = Layout(every=3600), Layout(every=900), Layout(every=86_400)
@@ -337,6 +338,38 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.groupBy(*KEY).agg(*(F.max_by(c, "batch").alias(c) for c in values))
 
 
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RSI of hourly bars that arrive in batches of a week each; the state holds the bars that RSI reaches back for."""
+    root = _fresh_folder(spark, "streams")
+    bars = stored_bars(spark, sf_dir).withColumn("week", F.floor(F.datediff(F.to_date("bar_ts"), F.lit("2024-01-01")) / 7))
+    bars = materialize(bars)
+    weeks = [r["week"] for r in bars.select("week").distinct().orderBy("week").collect()]
+    for week in weeks:  # a file a batch
+        bars.filter(F.col("week") == week).drop("week").coalesce(1).write.mode("append").parquet(f"{root}/bars")
+    arriving = spark.readStream.schema(bars.drop("week").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/bars")
+    steps = (technical.rsi(),)
+
+    def store(rows: DataFrame, number: int) -> None:
+        shown = rows.select(*KEY, "rsi", "rsi_overbought", "rsi_oversold")
+        shown.write.mode("overwrite").parquet(f"{root}/features/batch={number}")
+
+    writer = with_reach(arriving, reach_of(steps)).writeStream.foreachBatch(feature_batches(steps, HOURLY, store))
+    writer = writer.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/features").drop("batch"))
+
+
+def series_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On-balance volume and average price of hourly bars that were stored in two parts; the ticks are read once."""
+    bars = stored_bars(spark, sf_dir)
+    half = F.col("bar_ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    store = SeriesStore.create(bars.filter(half), _fresh_folder(spark, "series"), HOURLY)
+    store.append(bars.filter(~half))
+    columns = ("obv", "obv_ma", "obv_trend", "vwap", "dist_to_vwap", "bullish_ob", "bearish_ob")
+    steps = (volume.on_balance_volume(), volume.vwap(), structure.order_blocks())
+    return rounded(store.compute(*steps).select(*KEY, *columns))
+
+
 QUERIES: dict[str, Query] = {
     "summary_per_symbol": summary_per_symbol,
     # sources
@@ -472,6 +505,8 @@ QUERIES: dict[str, Query] = {
     "chart_fibonacci": _on_bars(lambda b: charts.fibonacci_levels(_full(b), HOURLY)),
     "chart_structure": _on_bars(lambda b: charts.market_structure(_full(b), HOURLY)),
     # streaming
+    "stream_features": stream_features,
+    "series_append": series_append,
     "stream_bars": lambda spark, sf_dir: rounded(stream_bars(spark, sf_dir)),
     # models
     "train_forest": _train("random_forest", numTrees=100, maxDepth=15),

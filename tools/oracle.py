@@ -474,6 +474,8 @@ ORACLE: dict[str, str] = {
     "ema": _averages(*(f"ema_{k}" for k in AVERAGE_SPANS)),
     "ma_flags": _features("price_above_sma20", "price_above_sma50", "ma_cross_10_20", "ma_cross_20_50"),
     "rsi": _features("rsi", "rsi_overbought", "rsi_oversold"),
+    "stream_features": _features("rsi", "rsi_overbought", "rsi_oversold"),
+    "series_append": _features("obv", "obv_ma", "obv_trend", "vwap", "dist_to_vwap", "bullish_ob", "bearish_ob"),
     "macd": _averages("macd", "macd_signal", "macd_histogram", "macd_bullish"),
     "bollinger": _features("bb_middle", "bb_upper", "bb_lower", "bb_width", "bb_position", "bb_squeeze"),
     "atr": _features("true_range", "atr", "atr_ratio"),
