@@ -338,6 +338,18 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.groupBy(*KEY).agg(*(F.max_by(c, "batch").alias(c) for c in values))
 
 
+STRUCTURE = (structure.liquidity(), structure.trend_flags(), structure.breaks(), structure.order_blocks(), structure.fair_value_gaps())
+
+
+def _on_tail(build: Callable[[SeriesStore], DataFrame]) -> Query:
+    """Over hourly bars in a store: only the last ones and what they need are read for features."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(build(SeriesStore.create(bars_1h(spark, sf_dir), _fresh_folder(spark, "series"), HOURLY)))
+
+    return query
+
+
 def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RSI of hourly bars that arrive in batches of a week each; the state holds the bars that RSI reaches back for."""
     root = _fresh_folder(spark, "streams")
@@ -502,8 +514,8 @@ QUERIES: dict[str, Query] = {
     "class_means": _on_bars(lambda b: charts.distributions(_full(b))["means"]),
     # chart tables not covered above
     "chart_price": _on_bars(lambda b: charts.price_overview(_full(b))),
-    "chart_fibonacci": _on_bars(lambda b: charts.fibonacci_levels(_full(b), HOURLY)),
-    "chart_structure": _on_bars(lambda b: charts.market_structure(_full(b), HOURLY)),
+    "chart_fibonacci": _on_tail(lambda s: charts.fibonacci_levels(s.tail(500, fibonacci.fibonacci()), HOURLY)),
+    "chart_structure": _on_tail(lambda s: charts.market_structure(s.tail(300, *STRUCTURE), HOURLY)),
     # streaming
     "stream_features": stream_features,
     "series_append": series_append,

@@ -50,6 +50,32 @@ class SeriesStore:
         """Features of all stored bars: one pass over them besides the side table."""
         return compute(self.bars(), self.layout, *steps, parts=self.parts().drop("_append", "_last_ts", "_last_close"))
 
+    def tail(self, n: int, *steps: Step) -> DataFrame:
+        """Features of the last ``n`` bars of each series, from those bars and what the steps reach back for.
+
+        The side table says from which position on bars are needed and gives a time before which none is; the time is part of the scan, so older files and row groups
+        are not opened. Steps that sum over a series need their block from its start, and the bars that reach into it.
+        """
+        size, reach = self.layout.block_rows, max((step.back for step in steps), default=0)
+        whole_blocks = any(step.series for step in steps)
+        by_symbol = Window.partitionBy(SYMBOL)  # over a row per block
+        parts = self.parts().withColumn("_total", F.sum("_rows").over(by_symbol))
+        first = F.greatest(F.col("_total") - n - reach, F.lit(0))
+        if whole_blocks:
+            first = F.greatest(F.floor(first / size) * size - reach, F.lit(0))
+        parts = parts.withColumn("_first", first.cast("bigint"))
+        older = F.when((F.col(BLOCK) + 1) * size <= F.col("_first"), F.col("_last_ts"))
+        needed = materialize(parts.groupBy(SYMBOL).agg(F.max("_total").alias("_total"), F.max("_first").alias("_first"), F.max(older).alias("_after")))
+        bars = self.bars()
+        # The earliest of the times; a series that is needed from its start has none.
+        bound = needed.agg(F.min("_after").alias("after"), F.count_if(F.col("_after").isNull()).alias("open")).first()
+        if bound["after"] is not None and not bound["open"]:
+            bars = bars.filter(F.col(TS) > F.lit(bound["after"]).cast("timestamp_ntz"))
+        kept = bars.join(needed.select(SYMBOL, "_first"), SYMBOL).filter(F.col(BAR_NO) >= F.col("_first")).drop("_first")
+        featured = compute(kept, self.layout, *steps, parts=self.parts().drop("_append", "_last_ts", "_last_close"))
+        last = featured.join(needed.select(SYMBOL, "_total"), SYMBOL).filter(F.col(BAR_NO) >= F.col("_total") - n)
+        return last.drop("_total")
+
     def append(self, bars: DataFrame) -> None:
         """Add later bars. A bar that is not later than all stored ones of its symbol is an error, found before anything is written."""
         parts = self.parts()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -77,3 +79,27 @@ def test_panel_with_fractions_of_volume(spark, tmp_path):
     stored = read_panel(spark, str(tmp_path / "p"))
     assert {r["volume"] for r in stored.select("volume").distinct().collect()} == {0.75}
     assert collected(compute(stored, LAYOUT, volume.vwap())).vwap.notna().all()
+
+
+@pytest.mark.parametrize("n", [1, 50, 1000])
+def test_tail_equals_the_end_of_the_series(spark, tmp_path, n):
+    frame = whole()
+    store = SeriesStore.create(to_spark(spark, frame), str(tmp_path / "s"), LAYOUT)
+    for steps, columns in ((STEPS, ("obv", "obv_ma", "vwap", "bullish_ob", "sma_5")), (STEPS[3:], ("sma_5",))):
+        got = collected(store.tail(n, *steps))
+        want = collected(compute(to_spark(spark, frame), LAYOUT, *steps)).groupby("symbol").tail(n).reset_index(drop=True)
+        assert got.bar_ts.tolist() == want.bar_ts.tolist()
+        for c in columns:
+            assert_same(got[c], want[c])
+
+
+def test_tail_pushes_a_time_into_the_scan(spark, tmp_path):
+    frame = pd.concat([walk(1000, 1, "A"), walk(900, 2, "B")])
+    store = SeriesStore.create(to_spark(spark, frame), str(tmp_path / "s"), LAYOUT)
+    found = store.tail(30, technical.sma((5, 20)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    bound = re.search(r"PushedFilters: [^\n]*GreaterThan\(bar_ts,([^)]+)\)", plan).group(1).replace("T", " ")
+    # What enters the windows: the bars, their reach, and less than a block before them.
+    entered = store.bars().filter(F.col("bar_ts") > F.lit(bound).cast("timestamp_ntz")).groupBy("symbol").count().collect()
+    assert max(r["count"] for r in entered if r["symbol"] == "B") <= 30 + 20 + LAYOUT.block_rows
+    assert found.count() == 60
