@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions import display_name
 from barloom.operators import (
     clean,
     dataset,
@@ -38,6 +39,7 @@ from barloom.sources import (
     read_bars,
     read_panel,
     write_bars,
+    write_details,
     write_evaluation,
     write_panel,
 )
@@ -318,6 +320,25 @@ def evaluation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.schema(schema).option("header", True).csv(path))
 
 
+def evaluation_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the rules through the nested details file: the best one, and a row per model."""
+    path = _fresh_folder(spark, "details")
+    results = materialize(evaluate.metrics(rule_predictions(stored_bars(spark, sf_dir))))  # a row per rule
+    best = results.orderBy(F.desc("f1_score"), "model").first()["model"]
+    write_details(results, best, path)
+    scores = "struct<accuracy: double, f1_score: double, precision: double, recall: double>"
+    schema = f"best_model string, best_accuracy double, best_f1 double, all_results map<string, {scores}>"
+    stored = spark.read.schema(schema).json(path)
+    each = stored.select("best_model", "best_accuracy", "best_f1", F.explode("all_results").alias("model", "scores"))
+    return rounded(each.select("best_model", "best_accuracy", "best_f1", "model", "scores.*"))
+
+
+def compare_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and F1 of the rules under their display names."""
+    compared = comparison_table(evaluate.metrics(rule_predictions(stored_bars(spark, sf_dir))))
+    return rounded(compared.withColumn("model", display_name("model")))
+
+
 def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars from the events read as a stream. Each batch writes the bars it changed; the last state of a bar counts,
     so bars that the watermark has not closed yet are there too."""
@@ -392,6 +413,8 @@ QUERIES: dict[str, Query] = {
     "unique_bars": _on_bars(lambda b: unique_bars(b.union(b.withColumn("open", F.col("open") + 1)))),
     "stored_panel": stored_panel,
     "evaluation_csv": evaluation_csv,
+    "evaluation_details": evaluation_details,
+    "compare_rules": compare_rules,
     "dataset_summary": _on_bars(profile.dataset_summary),
     # filters and cleaning
     "time_range": _on_bars(lambda b: b, _bars_of_a_week),

@@ -161,7 +161,7 @@ _EXACT = {
     "bos_bearish", "choch", "near_resistance", "near_support", "liquidity_sweep_up", "liquidity_sweep_down",
     "bullish_ob", "bearish_ob", "fvg_bullish", "fvg_bearish", "volume_trend", "obv_trend", "price_above_sma20",
     "price_above_sma50", "ma_cross_10_20", "ma_cross_20_50", "rsi_overbought", "rsi_oversold", "macd_bullish",
-    "bb_squeeze",
+    "bb_squeeze", "best_model",
 }
 
 
@@ -428,6 +428,18 @@ ORACLE: dict[str, str] = {
         BARS_1H, [*_BARS, f"row_number() OVER ({_W}) - 1 AS bar_no"], "bars"
     ),
     "evaluation_csv": _query(_CELLS, ["model", *_SCORES], "cells"),
+    "evaluation_details": _query(
+        f"{_CELLS}, wide AS (SELECT model, {', '.join(_SCORES)} FROM cells), "
+        "top AS (SELECT model, accuracy, f1_score FROM wide ORDER BY f1_score DESC, model LIMIT 1)",
+        ["top.model AS best_model", "top.accuracy AS best_accuracy", "top.f1_score AS best_f1", "wide.model AS model",
+         *(f"wide.{c} AS {c}" for c in ("accuracy", "f1_score", "precision", "recall"))],
+        "wide, top",
+    ),
+    "compare_rules": _query(
+        f"{_CELLS}, wide AS (SELECT model AS rule, {', '.join(_SCORES)} FROM cells)",
+        ["upper(rule[1]) || rule[2:] AS model", "accuracy", "f1_score"],
+        "wide",
+    ),
     "dataset_summary": f"{_OPEN_BARS} SELECT symbol, count(*) AS rows, min(bar_ts) AS first_ts, "
     "max(bar_ts) AS last_ts FROM bars GROUP BY symbol",
     "time_range": _query(
