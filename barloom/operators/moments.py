@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.session import send_package
+
 #: Tasks that merge matrices before the last one does.
 MERGERS = 64
 
@@ -100,6 +102,7 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, corr) for each ordered pair of columns with common rows; ``corr`` is null where one does not vary. ``a`` and ``b`` are places in ``columns``."""
     p = len(columns)
+    send_package(df.sparkSession)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = CoMoments.none(p)
@@ -138,6 +141,7 @@ def class_counts(df: DataFrame, columns: Sequence[str], group: str, ends: dict[t
 
     ``ends`` has the range of each (place of the column, class); the last bin is closed on the right.
     """
+    send_package(df.sparkSession)
     classes = sorted({g for _, g in ends})
     if not classes:
         return df.sparkSession.createDataFrame([], "column int, group long, bin int, rows long")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,20 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/materialized/{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the executors, once for each application; operators that run Python in tasks call it."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    _sent.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="barloom-")) / "barloom_core.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, Path(package.name) / file.relative_to(package))
+    context.addPyFile(str(archive))

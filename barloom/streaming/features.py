@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from barloom.operators.model import score
 from barloom.operators.step import Step, compute
 from barloom.schema import PRICES, Layout
+from barloom.session import send_package
 
 _VALUES = (*PRICES, "volume")
 _STATE = T.StructType(
@@ -41,6 +42,7 @@ def with_reach(bars: DataFrame, reach: int) -> DataFrame:
     that is not later than the last one of its symbol comes too late for the features after it; it is left out and counted, and ``late`` shows how many there
     have been. Of several bars of one time in a batch the first counts, the others are late. Volumes come out as doubles.
     """
+    send_package(bars.sparkSession)
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(batches), ignore_index=True)  # a batch's bars of one symbol
