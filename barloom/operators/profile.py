@@ -151,31 +151,6 @@ def volume_against_change(df: DataFrame) -> DataFrame:
     )
 
 
-def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(feature_a, feature_b, corr): one row of aggregates over all pairs, unpivoted afterwards."""
-    aggregates = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        # Merging partial moments of a constant leaves rounding dust, hence the test for variation.
-        ends = [how(F.when(both, v)) for v in (x, y) for how in (F.min, F.max)]
-        varies = (ends[0] < ends[1]) & (ends[2] < ends[3])
-        corr = F.lit(1.0) if a == b else F.corr(x, y)
-        aggregates.append(F.when(varies, corr).alias(f"_{i}"))
-        aggregates.append(F.count_if(both).alias(f"_n{i}"))
-    wide = df.agg(*aggregates)
-    entries = F.array(
-        *(
-            F.struct(
-                F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                F.col(f"_{i}").alias("corr"), F.col(f"_n{i}").alias("_n"),
-            )
-            for i, (a, b) in enumerate(pairs)
-        )
-    )
-    return wide.select(F.inline(entries)).filter("_n > 0").drop("_n")
-
-
 def corr_matrix(df: DataFrame, columns: Sequence[str], upper: bool = False) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows that have both, from one matrix of co-moments per task."""
     found = correlations(df, columns)
@@ -186,9 +161,14 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], upper: bool = False) -> D
 
 
 def target_corr(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:
-    """Correlation of each feature with the label, weakest first."""
-    found = _pair_correlations(df, [(c, target) for c in columns if c != target])
-    return found.select(F.col("feature_a").alias("feature"), "corr").orderBy(F.abs("corr"), "feature")
+    """Correlation of each feature with the label, weakest first; null (and first) where one of the two does not vary.
+
+    From the co-moments too: Spark's ``corr`` divides by zero for a column that does not vary, whatever is asked of the quotient.
+    """
+    features = [c for c in columns if c != target]
+    found = correlations(df, [*features, target]).filter((F.col("a") < len(features)) & (F.col("b") == len(features)))
+    named = F.array(*map(F.lit, [*features, target]))
+    return found.select(named[F.col("a")].alias("feature"), "corr").orderBy(F.abs("corr"), "feature")
 
 
 def quantile_bins(df: DataFrame, columns: Sequence[str], bins: int = 5) -> dict[str, list[float]]:

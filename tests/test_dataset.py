@@ -161,3 +161,14 @@ def test_error_by_quantile_like_qcut(spark):
     want = frame.groupby(pd.qcut(frame.x, 5, duplicates="drop"), observed=True).error.mean()
     got = profile.error_by_quantile(spark.createDataFrame(frame), ["x"]).toPandas().sort_values("bin")
     assert_same(got.error_rate, want.to_numpy())
+
+
+def test_correlations_with_the_label_where_a_column_does_not_vary(spark):
+    varies = (F.col("id") % 7 + F.col("id") % 2).cast("double")
+    df = spark.range(300).select(varies.alias("x"), F.lit(0).alias("flat"), F.lit(None).cast("double").alias("none"), (F.col("id") % 2).alias("target"))
+    found = profile.target_corr(df, ["x", "flat", "none", "target"]).collect()
+    want = df.select("x", "target").toPandas().corr().loc["x", "target"]
+    assert [r["feature"] for r in found] == ["flat", "x"]
+    assert found[0]["corr"] is None and abs(found[1]["corr"] - want) < 1e-12
+    same = df.select("x", F.lit(1).alias("target"))
+    assert [tuple(r) for r in profile.target_corr(same, ["x"]).collect()] == [("x", None)]
