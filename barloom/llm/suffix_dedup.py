@@ -17,8 +17,9 @@ buckets follows the size of the text. Strings are represented by hashes: 40 bits
 proposes, and 96 bits where they decide.
 
 Texts are packed into blocks of about ``BLOCK`` bytes. A block sends each of its suffix keys once, however often it holds it, so a string in a
-third of all rows is one key per block. Answers come back as bits in the order in which the block sent its keys. Blocks are written to the
-checkpoint folder once, dealt by their id, so that joining the answers does not move texts again. A block's id is its place (partition
+third of all rows is one key per block. Answers come back as bits in the order in which the block sent its keys. What a block learns from them
+goes along with its next keys as a note, a bit for each place in question, and comes back with their answers, so that no step is done again to
+read its answers a second time. Blocks are written to the checkpoint folder once, dealt by their id, so that joining the answers does not move texts again. A block's id is its place (partition
 and number) among rows in a fixed order, so a map task that runs again sends the same blocks to the same receivers.
 
 A null text is empty; texts shorter than ``length`` have no starts and keep all bytes; a text that repeats is removed
@@ -29,6 +30,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import count
@@ -46,8 +48,8 @@ PERIOD = 133
 #: A perfect difference set modulo 133.
 COVER = (0, 2, 6, 24, 29, 40, 43, 55, 68, 75, 76, 85)
 BLOCK = 2 << 20
-#: Bytes hashed at a time.
-WINDOW = 1 << 19
+#: Bytes hashed at a time; the arrays of a window fit a processor's cache.
+WINDOW = 1 << 15
 #: Keys of a bucket that a task sorts at a time, on average.
 BUCKET_KEYS = 1 << 21
 
@@ -80,15 +82,15 @@ def window_hashes(data: np.ndarray, starts: np.ndarray, length: int, seed: int)
     out = np.empty(len(starts), np.uint64)
     size = WINDOW + length
     up, down = _powers(seed, False, size), _powers(seed, True, size)
+    sums = np.zeros(size + 1, np.uint64)
     edges = np.searchsorted(starts, np.arange(0, len(data) + WINDOW, WINDOW))
-    for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+    for a, b in zip(edges, edges[1:], strict=False):
         if a == b:
             continue
-        at = k * WINDOW
-        part = values[data[at : at + size]]
+        at = starts[a]
+        part = values[data[at : starts[b - 1] + length]]
         part *= up[: len(part)]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part, out=sums[1:])
+        np.cumsum(part, out=sums[1 : len(part) + 1])
         own = starts[a:b] - at
         out[a:b] = (sums[own + length] - sums[own]) * down[own]
     return _mixed(out)
@@ -101,32 +103,61 @@ class Block:
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8) if len(payload) else np.zeros(0, np.uint8)
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
-        self.end_of = np.repeat(self.ends, lengths)
-        self.start_of = np.repeat(self.starts, lengths)
+
+    def of_text(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each of the ascending places the value of its text."""
+        return np.repeat(values, np.searchsorted(at, self.ends) - np.searchsorted(at, self.starts))
 
     def cover(self, least: int) -> np.ndarray:
         """Cover places with ``least`` bytes of their text from there."""
-        inside = np.zeros(PERIOD, bool)
-        inside[list(COVER)] = True
-        at = np.flatnonzero(np.resize(inside, len(self.data)) if len(self.data) else np.zeros(0, bool))
-        return at[at + least <= self.end_of[at]]
+        at = (np.arange(0, len(self.data), PERIOD)[:, None] + np.array(COVER)).reshape(-1)
+        at = at[: np.searchsorted(at, len(self.data))]
+        return at[at + least <= self.of_text(self.ends, at)]
+
+    def startable(self, length: int) -> np.ndarray:
+        """Whether ``length`` bytes of its text follow, for every place."""
+        own = self.ends - self.starts
+        some = np.maximum(own - (length - 1), 0)
+        return np.repeat(np.resize([True, False], 2 * len(own)), np.stack([some, own - some], axis=1).reshape(-1))
+
+
+def _filled(first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` places lie in one of the ranges from ``first`` to before ``end``, both ascending."""
+    if len(first) == 0:
+        return np.zeros(size, bool)
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
+    last = np.append(new[1:], len(end)) - 1
+    edges = np.concatenate([[0], np.stack([first[new], end[last]], axis=1).reshape(-1), [size]])
+    return np.repeat(np.resize([False, True], len(edges) - 1), np.diff(edges))
+
+
+def _order(first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(order that puts equal keys together by ``first``, whether a key in that order differs from the one before it)."""
+    order = np.argsort(first)
+    own = first[order]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    if second is None:
+        return order, new
+    other = second[order]
+    differs = other[1:] != other[:-1]
+    if (differs & ~new[1:]).any():  # one hash of two strings: the second parts decide
+        order = np.lexsort((second, first))
+        own, other = first[order], second[order]
+        new[1:] = (own[1:] != own[:-1]) | (other[1:] != other[:-1])
+    return order, new
 
 
 class Keys:
     """Distinct keys of some places of a block, ordered by bucket, and the way back from keys to places."""
 
     def __init__(self, first: np.ndarray, second: np.ndarray | None, buckets: int):
-        order = np.lexsort((second, first)) if second is not None else np.argsort(first, kind="stable")
-        own = first[order]
-        new = np.ones(len(own), bool)
-        new[1:] = own[1:] != own[:-1]
-        if second is not None:
-            new[1:] |= second[order][1:] != second[order][:-1]
+        order, new = _order(first, second)
         number = np.cumsum(new) - 1
-        self.of_place = np.empty(len(own), np.int64)
+        self.of_place = np.empty(len(first), np.int64)
         self.of_place[order] = number
-        self.first = own[new]
-        self.second = second[order][new] if second is not None else None
+        self.first = first[order[new]]
+        self.second = second[order[new]] if second is not None else None
         self.several = np.bincount(number, minlength=len(self.first)) > 1
         self.marks: np.ndarray | None = None
         bucket = ((self.first >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -151,6 +182,8 @@ class Keys:
         """For each place, whether its key is held more than once (or is marked), here or elsewhere."""
         flag = (self.several if self.marks is None else self.marks).copy()
         for answer in answers or []:
+            if answer["bucket"] < 0:  # a note
+                continue
             x, y = self.edges[answer["bucket"]], self.edges[answer["bucket"] + 1]
             flag[x:y] |= np.unpackbits(np.frombuffer(answer["bits"], np.uint8))[: y - x].astype(bool)
         return flag[self.of_place]
@@ -176,17 +209,14 @@ def _sorted_bucket(rows: list[tuple[bytes, bytes]], bucket: int, kind: str) -> I
     firsts, seconds = zip(*(_decode(keys, kind) for _, keys in rows), strict=True)
     first = np.concatenate(firsts)
     second = np.concatenate(seconds) if kind != NARROW else None
-    order = np.lexsort((second, first)) if kind == WIDE else np.argsort(first, kind="stable")
-    own = first[order]
-    same = own[1:] == own[:-1]
-    if kind == WIDE:
-        same &= second[order][1:] == second[order][:-1]
-    flag = np.zeros(len(own), bool)
+    order, new = _order(first, second if kind == WIDE else None)
+    same = ~new[1:]
+    flag = np.zeros(len(first), bool)
     if kind == MARKED:
         tie = np.concatenate([[0], np.cumsum(~same)])
         flag[order] = (np.bincount(tie, second[order]) > 0)[tie]
     else:
-        tied = np.zeros(len(own), bool)
+        tied = np.zeros(len(first), bool)
         tied[1:] |= same
         tied[:-1] |= same
         flag[order] = tied
@@ -199,7 +229,7 @@ def _sorted_bucket(rows: list[tuple[bytes, bytes]], bucket: int, kind: str) -> I
 
 
 def _answers(sent: DataFrame, kind: str) -> DataFrame:
-    """(block, answers) from (block, bucket, keys): sorts one bucket at a time."""
+    """(block, answers) from (block, bucket, keys): sorts one bucket at a time. Notes go back to their block as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found: list) -> Iterator[pa.RecordBatch]:
@@ -213,6 +243,9 @@ def _answers(sent: DataFrame, kind: str) -> DataFrame:
         held, rows = None, []
         for batch in batches:
             for block, bucket, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket < 0:
+                    yield from out([(block, bucket, keys)])
+                    continue
                 if bucket != held and rows:
                     yield from out(list(_sorted_bucket(rows, held, kind)))
                     rows = []
@@ -255,83 +288,106 @@ def _blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 class _Places:
-    """The three steps on one block, each from the answers to the step before."""
+    """The steps on one block, each from the answers to the step before and the notes of earlier ones."""
 
     def __init__(self, row: dict, length: int, buckets: int):
         self.block, self.length, self.buckets = Block(row["payload"], np.array(row["lengths"], np.int64)), length, buckets
-        self.row = row
+        self.row, self.size = row, len(self.block.data)
+        #: What the step learnt from its answers, to be sent along with its keys.
+        self.note: np.ndarray | None = None
+
+    def _noted(self, number: int, size: int) -> np.ndarray:
+        (bits,) = (a["bits"] for a in self.row[f"answers{number}"] if a["bucket"] < 0)
+        return np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool)
 
     def _wide(self, at: np.ndarray, length: int) -> Keys:
         data = self.block.data
         second = (window_hashes(data, at, length, 12) >> np.uint64(32)).astype(np.uint32)
         return Keys(window_hashes(data, at, length, 11), second, self.buckets)
 
-    def ranks(self) -> Keys:
-        least = self.length - PERIOD + 1
-        self.places = self.block.cover(least)
-        self.rank = window_hashes(self.block.data, self.places, least, 11)
-        return Keys(self.rank, None, self.buckets)
-
-    def surroundings(self) -> Keys:
-        """Cover places that share a rank and have the whole surrounding in their text."""
-        found = self.ranks().answered(self.row["answers1"])
-        block = self.block
-        self.shared, self.rank = self.places[found], self.rank[found]
-        full = (self.shared - (PERIOD - 1) >= block.start_of[self.shared]) & (self.shared + self.length <= block.end_of[self.shared])
-        self.full = self.shared[full]
-        return self._wide(self.full - (PERIOD - 1), self.length + PERIOD - 1)
+    def _ranks(self, places: np.ndarray) -> Keys:
+        return Keys(window_hashes(self.block.data, places, self.length - PERIOD + 1, 11), None, self.buckets)
 
     def _near(self, places: np.ndarray) -> np.ndarray:
         """Starts in the ``PERIOD`` bytes up to each place, where their string ends in the same text."""
-        block = self.block
-        step = np.zeros(len(block.data) + 1, np.int32)
-        np.add.at(step, np.maximum(places - (PERIOD - 1), 0), 1)
-        np.add.at(step, places + 1, -1)
-        near = np.cumsum(step[:-1]) > 0
-        return near & (np.arange(len(near)) + self.length <= block.end_of)
+        return _filled(np.maximum(places - (PERIOD - 1), 0), places + 1, self.size) & self.block.startable(self.length)
 
-    def contested(self) -> Keys:
-        """Shared ranks, marked where a start near them is still open."""
-        tied = self.surroundings().answered(self.row["answers2"])
-        self.decided = self._near(self.full[tied])
+    def _share(self, found: np.ndarray | None) -> None:
+        """Cover places that share a rank (as noted, if not given), and those of them that have the whole surrounding in their text."""
+        block, places = self.block, self.block.cover(self.length - PERIOD + 1)
+        at = self.shared = places[self._noted(2, len(places)) if found is None else found]
+        self.full = at[(at - (PERIOD - 1) >= block.of_text(block.starts, at)) & (at + self.length <= block.of_text(block.ends, at))]
+
+    def _surrounding_keys(self) -> Keys:
+        return self._wide(self.full - (PERIOD - 1), self.length + PERIOD - 1)
+
+    def _decide(self, tied: np.ndarray | None) -> None:
+        """Starts that are repeated for certain, and those near a shared rank that are open."""
+        self.decided = self._near(self.full[self._noted(3, len(self.full)) if tied is None else tied])
         self.open = self._near(self.shared) & ~self.decided
-        before = np.concatenate([[0], np.cumsum(self.open)])
+
+    def _contested_keys(self) -> Keys:
+        before = np.zeros(self.size + 1, np.int32)
+        np.cumsum(self.open, out=before[1:])
         some = before[self.shared + 1] > before[np.maximum(self.shared - (PERIOD - 1), 0)]
-        return Keys(self.rank, None, self.buckets).mark(some)
+        return self._ranks(self.shared).mark(some)
+
+    def _ask(self, found: np.ndarray | None) -> None:
+        found = self._noted(4, len(self.shared)) if found is None else found
+        self.asked = np.flatnonzero(self.open | (self.decided & self._near(self.shared[found])))
+
+    def ranks(self) -> Keys:
+        return self._ranks(self.block.cover(self.length - PERIOD + 1))
+
+    def surroundings(self) -> Keys:
+        """Surroundings of the cover places that share a rank."""
+        self.note = self.ranks().answered(self.row["answers1"])
+        self._share(self.note)
+        return self._surrounding_keys()
+
+    def contested(self) -> Keys:
+        """Shared ranks, marked where a start near them is still open."""
+        self._share(None)
+        self.note = self._surrounding_keys().answered(self.row["answers2"])
+        self._decide(self.note)
+        return self._contested_keys()
 
     def borders(self) -> Keys:
         """Open starts, and the decided ones that may answer an open start elsewhere."""
-        found = self.contested().answered(self.row["answers3"])
-        self.asked = np.flatnonzero(self.open | (self.decided & self._near(self.shared[found])))
+        self._share(None)
+        self._decide(None)
+        self.note = self._contested_keys().answered(self.row["answers3"])
+        self._ask(self.note)
         return self._wide(self.asked, self.length)
 
     def covered(self) -> np.ndarray:
         """Which bytes a repeated string covers."""
-        found = self.borders().answered(self.row["answers4"])
-        start = self.decided.copy()
-        start[self.asked[found]] = True
+        self._share(None)
+        self._decide(None)
+        self._ask(None)
+        start = self.decided
+        start[self.asked[self._wide(self.asked, self.length).answered(self.row["answers4"])]] = True
         at = np.flatnonzero(start)
-        step = np.zeros(len(self.block.data) + 1, np.int32)
-        step[at] += 1
-        step[at + self.length] -= 1
-        return np.cumsum(step[:-1]) > 0
+        return _filled(at, at + self.length, self.size)
 
 
 STEPS = ((_Places.ranks, NARROW), (_Places.surroundings, WIDE), (_Places.contested, MARKED), (_Places.borders, WIDE))
 
 
-def _rows_of(batch: pa.RecordBatch, answers: int) -> Iterator[dict]:
+def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    names = [n for n in batch.schema.names if n != "ids"]
     for i in range(batch.num_rows):
-        row = {n: batch.column(n)[i].as_py() for n in ("block", "lengths", "payload")}
-        row |= {f"answers{k}": batch.column(f"answers{k}")[i].as_py() for k in range(1, answers + 1)}
-        yield row
+        yield {n: batch.column(n)[i].as_py() for n in names}
 
 
-def _sent(frame: DataFrame, step: Callable[[_Places], Keys], answers: int, length: int, buckets: int) -> DataFrame:
+def _sent(frame: DataFrame, step: Callable[[_Places], Keys], length: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in _rows_of(batch, answers):
-                out = list(step(_Places(row, length, buckets)).rows())
+            for row in _rows_of(batch):
+                work = _Places(row, length, buckets)
+                out = list(step(work).rows())
+                if work.note is not None:  # buckets below 0 hold notes, dealt by block
+                    out.append((-1 - zlib.crc32(row["block"]) % buckets, np.packbits(work.note).tobytes()))
                 if out:
                     bucket, keys = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -342,6 +398,12 @@ def _sent(frame: DataFrame, step: Callable[[_Places], Keys], answers: int, lengt
     return frame.drop("ids").mapInArrow(run, "block binary, bucket int, keys binary")
 
 
+def _with_answers(frame: DataFrame, held: dict[int, DataFrame]) -> DataFrame:
+    for k, found in held.items():
+        frame = frame.join(found.withColumnRenamed("answers", f"answers{k}"), "block", "left")
+    return frame
+
+
 def repeated_strings(
     docs: DataFrame, length: int = 200, id_column: str = "doc_id", text_column: str = "text", spans: bool = False
 ) -> DataFrame:
@@ -354,14 +416,18 @@ def repeated_strings(
     frame = _blocks(docs, id_column, text_column)
     size = frame.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()[0]
     buckets = max(spread(frame, "bucket"), size * len(COVER) // PERIOD // BUCKET_KEYS)
-    for k, (step, kind) in enumerate(STEPS):
-        found = cut(_answers(_sent(frame, step, k, length, buckets), kind))
-        frame = frame.join(found.withColumnRenamed("answers", f"answers{k + 1}"), "block", "left")
+    held: dict[int, DataFrame] = {}
+    for k, (step, kind) in enumerate(STEPS, 1):
+        found = cut(_answers(_sent(_with_answers(frame, held), step, length, buckets), kind))
+        # Only the notes of the answers before the last are read again; the first ones have none.
+        notes = {i: f.withColumn("answers", F.filter("answers", lambda a: a["bucket"] < 0)) for i, f in held.items() if i > 1}
+        held = notes | {k: found}
+    frame = _with_answers(frame, held)
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"][: 6 if spans else 5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, row in enumerate(_rows_of(batch, len(STEPS))):
+            for i, row in enumerate(_rows_of(batch)):
                 work = _Places(row, length, buckets)
                 gone, block, out = work.covered(), work.block, []
                 for a, b in zip(block.starts.tolist(), block.ends.tolist(), strict=True):

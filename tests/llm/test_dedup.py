@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pytest
+import zstandard
 
 from barloom.llm import exact_dedup, jaccard_join, suffix_dedup
 from barloom.llm.exact_dedup import CuckooIndex
@@ -154,6 +155,33 @@ def test_repeated_strings_of_odd_rows(odd, empty):
     assert suffix_dedup.repeated_strings(empty).count() == 0
 
 
+def test_later_steps_hash_only_places_that_share_a_rank(monkeypatch):
+    """What a block learnt comes back as notes; nothing is hashed again to read old answers."""
+    sd, hashed = suffix_dedup, []
+    plain = sd.window_hashes
+    monkeypatch.setattr(sd, "window_hashes", lambda data, at, length, seed: hashed.append(len(at)) or plain(data, at, length, seed))
+    same = random.Random(7).randbytes(400)
+    text = random.Random(8).randbytes(60_000) + same + random.Random(9).randbytes(40_000) + same
+    row = {"block": b"b" * 16, "lengths": [len(text)], "payload": zstandard.ZstdCompressor().compress(text)}
+    for k, (step, _) in enumerate(sd.STEPS, 1):
+        work = sd._Places(row, 200, 4)
+        step(work)
+        row[f"answers{k}"] = [] if work.note is None else [{"bucket": -1, "bits": np.packbits(work.note).tobytes()}]
+    gone = sd._Places(row, 200, 4).covered()
+    want = np.zeros(len(text), bool)
+    want[60_000:60_400] = want[-400:] = True
+    assert (gone == want).all()
+    places = len(sd._Places(row, 200, 4).block.cover(200 - sd.PERIOD + 1))
+    assert 2 * places <= sum(hashed) < 2 * places + 8 * 400 * 2
+
+
+def test_order_of_keys_with_equal_first_parts():
+    first, second = np.array([5, 7, 5, 5, 7], np.uint64), np.array([2, 1, 1, 2, 1], np.uint32)
+    order, new = suffix_dedup._order(first, second)
+    assert list(zip(first[order], second[order], strict=True)) == [(5, 1), (5, 2), (5, 2), (7, 1), (7, 1)]
+    assert new.tolist() == [True, True, False, True, False]
+
+
 def test_blocks_repeat_when_a_task_runs_again(frame, monkeypatch):
     """A rerun, also one that gets its rows in another order, makes the same blocks under the same ids."""
     monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
