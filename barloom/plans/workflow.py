@@ -62,9 +62,9 @@ def train_and_rank(
     test = divided.filter(F.col("split") == "test").drop("split")
     preparation = model.Preparation.fit(train, features)
     models, scored, found = {}, None, []
-    for kind, params in (grids or presets or model.PRESETS[name]).items():
-        points = model.parameter_points(params) if grids else [dict(params)]
-        done = model.cross_validate(train, preparation, kind, points, balanced, k)
+    asked = grids or presets or model.PRESETS[name]
+    kinds = {kind: model.parameter_points(params) if grids else [dict(params)] for kind, params in asked.items()}
+    for kind, done in model.search(train, preparation, kinds, balanced, k).items():
         models[kind] = done.model
         found.append((kind, done.f1_mean, done.f1_std, {p: str(v) for p, v in done.params.items()}))
         pred = model.predictions(done.model, test, kind)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -110,6 +112,28 @@ def test_grid_search_refits_the_best_point(separable):
     assert done.model.stages[-1].getRegParam() == pytest.approx(1 / 300)
 
 
+def test_fits_of_all_models_run_together(separable, monkeypatch):
+    """Folds and refits of both kinds are in flight at once: each fit waits here for the other five."""
+    together = threading.Barrier(6)
+
+    class Waiting:
+        def fit(self, rows):
+            together.wait(60)
+            return self
+
+        def transform(self, rows):
+            return rows
+
+    monkeypatch.setattr(model, "estimator", lambda *a, **k: Waiting())
+    monkeypatch.setattr(model, "f1_of_class_1", lambda scored: 0.5)
+    preparation = model.Preparation(MINI8, dataset.RobustScaler(dict.fromkeys(MINI8, 0.0), dict.fromkeys(MINI8, 1.0)))
+    kinds = {"logistic_regression": [{"C": 1.0}], "linear_svm": [{"C": 2.0}]}
+    done = model.search(separable.withColumn("fold", F.col("target")), preparation, kinds, k=2, parallelism=6)
+    assert {kind: (d.params, d.f1_mean, d.f1_std) for kind, d in done.items()} == {
+        "logistic_regression": ({"C": 1.0}, 0.5, 0.0), "linear_svm": ({"C": 2.0}, 0.5, 0.0),
+    }
+
+
 def test_importances_and_components(spark, trained, separable):
     table = model.importances(spark, trained.models, trained.features)
     assert {r["model"] for r in table.collect()} == {"random_forest", "gradient_boosting"}
